@@ -72,13 +72,14 @@ def contains_any(text: Column, needles: list[str] | tuple[str, ...]) -> Column:
 def word_ngrams(tokens: Column, n: int) -> Column:
     """Every run of ``n`` consecutive tokens joined by a space, in order, with repeats.
 
-    ``tokens`` must be a plain column: an expression would be evaluated once per run.
+    The array is zipped with itself moved along, so ``tokens`` is evaluated a fixed number of
+    times per row, however Catalyst inlines it, and not once per run.
     """
-    count = F.size(tokens) - F.lit(n - 1)
-    return F.when(
-        count > 0,
-        F.transform(F.sequence(F.lit(1), count), lambda i: F.array_join(F.slice(tokens, i, n), " ")),
-    ).otherwise(F.array().cast("array<string>"))
+    runs = F.greatest(F.size(tokens) - F.lit(n - 1), F.lit(0))
+    grams = F.slice(tokens, F.lit(1), runs)
+    for offset in range(1, n):
+        grams = F.zip_with(grams, F.slice(tokens, F.lit(offset + 1), runs), lambda a, b: F.concat(a, F.lit(" "), b))
+    return grams
 
 
 def content_hash(text: Column, hash_type: str = "md5") -> Column:

@@ -25,7 +25,13 @@ def _term_rows(df: DataFrame, stop_words: tuple[str, ...]) -> DataFrame:
     # Partitioned by document before the terms are spread out: counting per document
     # and per document and term then needs no further exchange.
     by_doc = df.select("doc_id", "text").repartition("doc_id")
-    return with_terms(by_doc, stop_words).select("doc_id", F.explode("terms").alias("term"))
+    # The outer form keeps Catalyst from adding a "not empty" filter under the exchange, which
+    # would work out all terms a second time. The row it leaves for an empty document goes here.
+    return (
+        with_terms(by_doc, stop_words)
+        .select("doc_id", F.explode_outer("terms").alias("term"))
+        .where(F.col("term").isNotNull())
+    )
 
 
 def _largest(counts: DataFrame, n: int) -> DataFrame:

@@ -218,10 +218,10 @@ _CTES: dict[str, str] = {
       SELECT doc_id, domain, {_when('quality_class', _QUALITY_W, 0.5)} + {_when('domain', _DOMAIN_W, 0.5)} AS att,
         quality_score, toxicity_score FROM pr)""",
     "hyb": """hyb AS (
-      SELECT doc_id, ds, at, round(6e-1 * ds + 4e-1 * at, 6) AS score FROM (
+      SELECT doc_id, dn, an, round(6e-1 * dn + 4e-1 * an, 6) AS score FROM (
         SELECT doc_id,
-          (dsir - min(dsir) OVER ()) / (max(dsir) OVER () - min(dsir) OVER () + 1e-10) AS ds,
-          (att - min(att) OVER ()) / (max(att) OVER () - min(att) OVER () + 1e-10) AS at
+          (dsir - min(dsir) OVER ()) / (max(dsir) OVER () - min(dsir) OVER () + 1e-10) AS dn,
+          (att - min(att) OVER ()) / (max(att) OVER () - min(att) OVER () + 1e-10) AS an
         FROM dsir JOIN att USING (doc_id)))""",
     "hsel": """hsel AS (
       SELECT * FROM (SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) - 1 AS r FROM hyb)
@@ -291,7 +291,7 @@ def _processed_columns(perplexity: str) -> str:
 
 
 _SELECTED = _sql("hsel", """SELECT h.doc_id, pr.domain, pr.quality_class AS quality, round(score, 6) AS selection_score,
-  round(ds, 6) AS dsir_score, round(at, 6) AS attribute_score, r AS selection_rank, 'hybrid' AS selected_by
+  round(dn, 6) AS dsir_score, round(an, 6) AS attribute_score, r AS selection_rank, 'hybrid' AS selected_by
 FROM hsel h JOIN pr USING (doc_id)""")
 
 
@@ -470,7 +470,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY score DESC, doc_
     "attribute_score_full": _sql("att", """SELECT doc_id,
   round(att + quality_score + (1 - toxicity_score), 6) AS attribute_score FROM att"""),
     "attribute_select": _ranked("att", "att", "att", "attribute"),
-    "hybrid_scores": _sql("hyb", """SELECT doc_id, round(ds, 6) AS dsir_score, round(at, 6) AS attribute_score,
+    "hybrid_scores": _sql("hyb", """SELECT doc_id, round(dn, 6) AS dsir_score, round(an, 6) AS attribute_score,
   score AS selection_score FROM hyb"""),
     "hybrid_select": _SELECTED,
     "unimax_weights": _sql("grp", "SELECT domain, round(1 / count(*) OVER (), 6) AS weight FROM grp"),
