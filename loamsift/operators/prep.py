@@ -39,7 +39,7 @@ def encode(text: Column) -> Column:
     )
     plain = F.regexp_replace(plain, f"{tx.UNICODE}[{tx.WHITESPACE}]", space)
     codes = F.transform(
-        F.split(plain, ""),
+        F.array_remove(F.split(plain, ""), ""),
         lambda c: F.when(c == space, SPACE_CODE)
         .when(c == other, OTHER_CODE)
         .otherwise(F.ascii(c) % CODE_RANGE + CODE_OFFSET),

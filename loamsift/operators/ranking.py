@@ -40,9 +40,7 @@ def add_rank(
         *keys, (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_offset")
     )
     if not within:
-        offsets = F.broadcast(offsets)  # one row per partition
-    else:
-        offsets = stage(offsets, "rank_offsets")  # broadcast only if its written size is small
+        offsets = F.broadcast(offsets)  # one row per partition; with groups the planner decides
     rank = (F.col("_place") + F.col("_offset") + F.lit(start)).cast("bigint")
     return placed.join(offsets, keys).select(*df.columns, rank.alias(name))
 

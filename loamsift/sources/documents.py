@@ -25,7 +25,7 @@ def scan(df: DataFrame, spec: SourceSpec, id_column: str = "doc_id") -> DataFram
         F.col(id_column).cast("bigint").alias("doc_id"),
         F.col(spec.text_column).alias("text"),
         F.lit(spec.domain).alias("domain"),
-        (F.col("source") if "source" in df.columns else F.lit(spec.dataset)).alias("source"),
+        F.coalesce(optional("source"), F.lit(spec.dataset)).alias("source"),
         optional("language").alias("language"),
         optional("title").alias("title"),
     )
