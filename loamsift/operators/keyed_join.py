@@ -15,7 +15,7 @@ def spread_join(
     spread_by: str,
     how: str = "inner",
     counts: DataFrame | None = None,
-    min_rows: int = MIN_ROWS_PER_TASK,
+    min_rows: int | None = None,
 ) -> DataFrame:
     """Join ``many`` (rows repeat per key) to ``one`` (one or few per key), splitting hot keys.
 
@@ -29,7 +29,7 @@ def spread_join(
     if counts is None:
         counts = many.groupBy(key).agg(F.count("*").alias("_rows"))
     top = counts.agg(F.sum("_rows").alias("rows"), F.max("_rows").alias("most")).first()
-    limit = max(min_rows, (top["rows"] or 0) // MAX_HOT_KEYS)
+    limit = max(min_rows or MIN_ROWS_PER_TASK, (top["rows"] or 0) // MAX_HOT_KEYS)
     if (top["most"] or 0) <= limit:
         return many.join(one, key, how)
     salts = F.broadcast(

@@ -29,14 +29,15 @@ CHECKS = (
 )
 
 
-def with_text_stats(df: DataFrame) -> DataFrame:
+def with_text_stats(df: DataFrame, code: Column | None = None) -> DataFrame:
     """Add the counts that the scores below share, each computed once per row.
 
     The word and line arrays stay in their own projection, so that splitting a long text
-    is not repeated for every expression that needs its size.
+    is not repeated for every expression that needs its size. Rows where ``code`` holds get
+    counts of source and comment lines too.
     """
     split = df.withColumns({"_words": tx.words(F.col("text")), "_lines": tx.lines(F.col("text"))})
-    return split.withColumns({
+    counts = {
         "_n_chars": F.length("text"),
         "_n_words": F.size("_words"),
         "_n_unique_words": F.size(F.array_distinct("_words")),
@@ -44,11 +45,13 @@ def with_text_stats(df: DataFrame) -> DataFrame:
         "_n_unique_lines": F.size(F.array_distinct("_lines")),
         "_n_word_chars": tx.total_length(F.col("_words")),
         "_n_symbols": tx.symbol_chars(F.col("text")),
-    }).drop("_words", "_lines")
-
-
-def drop_text_stats(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.startswith("_")])
+    }
+    if code is not None:
+        nonblank, note = rf"{tx.UNICODE}[^{tx.WHITESPACE}]", rf"{tx.UNICODE}^[{tx.WHITESPACE}]*(#|//)|/\*"
+        split = split.withColumn("_source", F.when(code, F.filter("_lines", lambda line: line.rlike(nonblank))))
+        counts["_n_source_lines"] = F.size("_source")
+        counts["_n_comment_lines"] = F.when(code, F.size(F.filter("_source", lambda line: line.rlike(note))))
+    return split.withColumns(counts).drop("_words", "_lines", "_source")
 
 
 def _ratio(part: Column, whole: Column) -> Column:
@@ -94,13 +97,10 @@ def perplexity(cfg: QualityConfig = QualityConfig()) -> Column:
 
 def code_checks(cfg: QualityConfig = QualityConfig()) -> tuple[Column, Column]:
     """Number of non-blank lines in range, and share of comment lines in range."""
-    space = tx.WHITESPACE
-    source_lines = F.filter(tx.lines(F.col("text")), lambda line: line.rlike(rf"{tx.UNICODE}[^{space}]"))
-    comment_lines = F.filter(source_lines, lambda line: line.rlike(rf"{tx.UNICODE}^[{space}]*(#|//)|/\*"))
-    n = F.size(source_lines)
+    n = F.col("_n_source_lines")
     return (
         n.between(cfg.code_min_lines, cfg.code_max_lines),
-        _ratio(F.size(comment_lines), n).between(cfg.code_min_comment_ratio, cfg.code_max_comment_ratio),
+        _ratio(F.col("_n_comment_lines"), n).between(cfg.code_min_comment_ratio, cfg.code_max_comment_ratio),
     )
 
 
@@ -159,7 +159,7 @@ def toxicity(text: Column, terms: tuple[str, ...] = TOXIC_TERMS) -> Column:
 def annotate(df: DataFrame, cfg: QualityConfig = QualityConfig()) -> DataFrame:
     """Score every document and keep all of them: RAW plus dedup marks in, PROCESSED out."""
     scored = (
-        with_text_stats(df)
+        with_text_stats(df, F.col("domain") == "code")
         .withColumns({"_ppl": perplexity(cfg), "_checks": filter_results(F.col("domain"), cfg)})
         .withColumn("_passes", passes(F.col("_checks")))
     )

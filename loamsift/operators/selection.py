@@ -48,11 +48,23 @@ def fit_importance(target: DataFrame, cfg: SelectionConfig = SelectionConfig())
     return Importance(vocabulary, stage(tfidf.distribution(vecs, n_docs), "target_distribution"), cfg)
 
 
-def importance_scores(docs: DataFrame, fitted: Importance) -> DataFrame:
+def fit_within(docs: DataFrame, target: DataFrame, cfg: SelectionConfig = SelectionConfig()) -> tuple[Importance, DataFrame]:
+    """``fit_importance`` for a target that is part of ``docs``, and the vectors of all ``docs``.
+
+    The terms of every document are then worked out once and not once more for the target.
+    """
+    vocabulary, n_docs = tfidf.fit_vocabulary(target, cfg)
+    vecs = stage(tfidf.vectors(docs, vocabulary, cfg), "doc_terms")
+    of_target = vecs.join(target.select("doc_id"), "doc_id", "left_semi")
+    fitted = Importance(vocabulary, stage(tfidf.distribution(of_target, n_docs), "target_distribution"), cfg)
+    return fitted, vecs
+
+
+def importance_scores(docs: DataFrame, fitted: Importance, vecs: DataFrame | None = None) -> DataFrame:
     """(doc_id, dsir) of every document of one source."""
     cfg = fitted.cfg
-    # Read twice: for the source distribution, then for the scores.
-    vecs = stage(tfidf.vectors(docs, fitted.vocabulary, cfg), "doc_terms")
+    if vecs is None:  # read twice: for the source distribution, then for the scores
+        vecs = stage(tfidf.vectors(docs, fitted.vocabulary, cfg), "doc_terms")
     source = tfidf.distribution(vecs, max(docs.count(), 1), _TINY)
     weights = stage(tfidf.importance(fitted.vocabulary, fitted.target, source), "importance")
     return tfidf.document_scores(docs, vecs, weights, cfg)
@@ -93,12 +105,14 @@ def _unit_range(column: str, low: float, high: float) -> Column:
     return (F.col(column) - F.lit(low)) / F.lit(high - low + _TINY)
 
 
-def hybrid_scores(docs: DataFrame, fitted: Importance, digits: int = 6) -> DataFrame:
+def hybrid_scores(
+    docs: DataFrame, fitted: Importance, vecs: DataFrame | None = None, digits: int = 6
+) -> DataFrame:
     """(doc_id, dsir_score, attribute_score, selection_score), the first two scaled to [0, 1]."""
     cfg = fitted.cfg
     attribute = attribute_score(F.col("quality_class"), F.col("domain"), cfg)
     both = stage(
-        importance_scores(docs, fitted).join(docs.select("doc_id", attribute.alias("attribute")), "doc_id"),
+        importance_scores(docs, fitted, vecs).join(docs.select("doc_id", attribute.alias("attribute")), "doc_id"),
         "both_scores",
     )
     ends = both.agg(
@@ -129,7 +143,10 @@ def hybrid_select(processed: DataFrame, cfg: SelectionConfig = SelectionConfig()
     target = target_docs(processed, cfg)
     if not enough_targets(target, cfg):
         return to_selection_input(processed)
-    scores = hybrid_scores(processed, fit_importance(target, cfg))
+    if cfg.target_class == "medium":  # may list documents twice, so it is not a part of them
+        scores = hybrid_scores(processed, fit_importance(target, cfg))
+    else:
+        scores = hybrid_scores(processed, *fit_within(processed, target, cfg))
     ranked = top_fraction(stage(scores, "hybrid_scores"), "selection_score", cfg.rate)
     return _with_rows(to_selection_input(processed), ranked, "hybrid")
 

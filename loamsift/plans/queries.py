@@ -226,7 +226,9 @@ def perplexity_score(spark, folder):
 
 @query
 def heuristic_filters(spark, folder):
-    df = quality.with_text_stats(_texts(spark, folder)).withColumn("_r", quality.filter_results(F.col("domain")))
+    df = quality.with_text_stats(_texts(spark, folder), F.col("domain") == "code").withColumn(
+        "_r", quality.filter_results(F.col("domain"))
+    )
     return df.select("doc_id", "_r.*", quality.passes(F.col("_r")).alias("passes"))
 
 
@@ -234,7 +236,7 @@ def heuristic_filters(spark, folder):
 def page_filters(spark, folder):
     """The same checks on raw html, which has links and many signs."""
     pages = tables.table(spark, folder, "pages").select("page_id", F.col("html").alias("text"))
-    df = quality.with_text_stats(pages).withColumn("_r", quality.filter_results(F.lit("web")))
+    df = quality.with_text_stats(pages, F.lit(False)).withColumn("_r", quality.filter_results(F.lit("web")))
     return df.select(
         "page_id", F.col("_r.url_ratio_ok"), F.col("_r.non_alpha_ok"), F.col("_r.number_ratio_ok"),
         F.col("_r.word_length_ok"), quality.passes(F.col("_r")).alias("passes"),
@@ -243,7 +245,7 @@ def page_filters(spark, folder):
 
 @query
 def code_filters(spark, folder):
-    df = _texts(spark, folder)
+    df = quality.with_text_stats(_texts(spark, folder), F.lit(True))
     length_ok, comment_ok = quality.code_checks()
     return df.select("doc_id", length_ok.alias("code_length_ok"), comment_ok.alias("code_comment_ok"))
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loamsift.config import DedupConfig
-from loamsift.operators import exact, fuzzy
+from loamsift.operators import exact, fuzzy, keyed_join
 from loamsift.operators.keyed_join import spread_join
 
 
@@ -83,7 +83,9 @@ def test_same_as_one_by_one(spark, seed, leaders, t):
     assert found(spark, texts, DedupConfig(jaccard_threshold=t), first_leaders=leaders) == want
 
 
-def test_a_third_of_the_corpus_is_one_group_of_copies(spark):
+def test_a_third_of_the_corpus_is_one_group_of_copies(spark, monkeypatch):
+    """With a low limit on rows per task, so that every join splits its hot keys."""
+    monkeypatch.setattr(keyed_join, "MIN_ROWS_PER_TASK", 10)
     texts = corpus(4, n=150, hot=50)
     assert found(spark, texts) == one_by_one(texts, 0.6)
 
