@@ -505,6 +505,9 @@ FROM (SELECT doc_id, len(t) AS n, {_PADDED} AS p FROM {_CODED})"""),
   SELECT domain, length(lower(text)) + 2 AS n, CASE WHEN row_number() OVER (ORDER BY doc_id) - 1
     < floor(count(*) OVER () * 0.8::DOUBLE) THEN 'train' ELSE 'eval' END AS split FROM docs) GROUP BY 1, 2"""),
     "stream_exact_dedup": "SELECT md5(text) AS hash_id, any_value(length(text))::INTEGER AS n_chars FROM documents GROUP BY 1",
+    "stream_dedup_batches": _sql("docs catalog", """SELECT doc_id, hash_id, batch FROM (
+  SELECT doc_id, md5(text) AS hash_id, i AS batch, row_number() OVER (PARTITION BY md5(text) ORDER BY i, doc_id) AS r
+  FROM docs JOIN catalog USING (domain)) WHERE r = 1"""),
     "stream_annotate": _sql("ann", """SELECT doc_id, quality_class, round(quality_score, 6) AS quality_score, hash_id
 FROM ann WHERE nw BETWEEN 10 AND 10000"""),
 }

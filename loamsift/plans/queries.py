@@ -681,6 +681,18 @@ def stream_exact_dedup(spark, folder):
     return _drained(spark, unique).select("hash_id", F.length("text").alias("n_chars"))
 
 
+@query
+def stream_dedup_batches(spark, folder):
+    """The domains arrive one after the other; the stream is started again for each."""
+    docs = _texts(spark, folder).select("doc_id", "text", "domain")
+    arrived, out, state = (new_path(spark, name) for name in ("stream_in", "stream_out", "stream_state"))
+    for spec in SOURCE_CATALOG:
+        docs.where(F.col("domain") == spec.domain).write.mode("append").parquet(arrived)
+        stream = streaming.read_stream(spark, arrived, docs.schema, files_per_trigger=1000)
+        streaming.dedup_batches(stream, out, state).awaitTermination()
+    return spark.read.parquet(out).select("doc_id", "hash_id", F.col("batch").cast("int").alias("batch"))
+
+
 @query
 def stream_annotate(spark, folder):
     scored = _drained(spark, streaming.annotate(_as_stream(spark, _texts(spark, folder))))

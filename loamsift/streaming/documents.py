@@ -21,6 +21,31 @@ def dedup(stream: DataFrame, hash_type: str = "md5") -> DataFrame:
     return exact.with_hash(stream, hash_type).dropDuplicates(["hash_id"])
 
 
+def dedup_batches(stream: DataFrame, path: str, checkpoint: str, hash_type: str = "md5") -> StreamingQuery:
+    """Exact dedup batch by batch into ``path``: of the copies in a batch the one with the smallest
+    id survives, unless an earlier batch, also of an earlier run, had that text.
+
+    The written survivors are the state, so it lies in the shared folder and takes no memory.
+    Each batch has its own folder and looks only at those before it: a replayed batch overwrites
+    its folder with the same rows.
+    """
+    seen_schema = T.StructType([T.StructField("hash_id", T.StringType()), T.StructField("batch", T.LongType())])
+
+    def keep_new(batch: DataFrame, number: int) -> None:
+        seen = None
+        if number > 0:
+            seen = batch.sparkSession.read.schema(seen_schema).parquet(path).where(F.col("batch") < number)
+        survivors = exact.exact_dedup_incremental(batch, seen, hash_type)
+        survivors.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return (
+        stream.writeStream.foreachBatch(keep_new)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def annotate(stream: DataFrame, cfg: QualityConfig = QualityConfig()) -> DataFrame:
     """Ingest filter, ingest quality and all scores, without state."""
     raw = to_raw(length_filter(stream))

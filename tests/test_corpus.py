@@ -19,7 +19,7 @@ from loamsift.sources import documents, tables
 QUICK = [
     "source_catalog", "ingest_sources", "heuristic_filters", "annotate_quality", "ngram_signature", "exact_dup_audit",
     "exact_dedup_incremental", "fuzzy_matches", "hybrid_select", "dsir_select_per_source", "unimax_batches",
-    "attribute_batch", "training_sequences", "stream_exact_dedup", "stream_annotate",
+    "attribute_batch", "training_sequences", "stream_exact_dedup", "stream_annotate", "stream_dedup_batches",
 ]
 
 
