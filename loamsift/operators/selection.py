@@ -74,10 +74,12 @@ def _with_rows(docs: DataFrame, ranked: DataFrame, selected_by: str) -> DataFram
     return docs.join(ranked, "doc_id").withColumn("selected_by", F.lit(selected_by))
 
 
-def dsir_select(docs: DataFrame, fitted: Importance, rate: float | None = None) -> DataFrame:
+def dsir_select(
+    docs: DataFrame, fitted: Importance, vecs: DataFrame | None = None, rate: float | None = None
+) -> DataFrame:
     rate = fitted.cfg.rate if rate is None else rate
     scores = stage(
-        importance_scores(docs, fitted).withColumnRenamed("dsir", "selection_score"), "dsir_scores"
+        importance_scores(docs, fitted, vecs).withColumnRenamed("dsir", "selection_score"), "dsir_scores"
     )
     return _with_rows(docs, top_fraction(scores, "selection_score", rate), "dsir")
 

@@ -496,9 +496,14 @@ def importance_weights(spark, folder):
     return weights.select("term", r6("weight").alias("weight"))
 
 
+def _fitted_within(spark, folder) -> tuple[DataFrame, selection.Importance, DataFrame]:
+    processed = _processed(spark, folder)
+    return processed, *selection.fit_within(processed, selection.target_docs(processed))
+
+
 @query
 def dsir_scores(spark, folder):
-    return selection.importance_scores(*_fitted(spark, folder))
+    return selection.importance_scores(*_fitted_within(spark, folder))
 
 
 def _picked(df: DataFrame) -> DataFrame:
@@ -507,7 +512,7 @@ def _picked(df: DataFrame) -> DataFrame:
 
 @query
 def dsir_select(spark, folder):
-    return _picked(selection.dsir_select(*_fitted(spark, folder)))
+    return _picked(selection.dsir_select(*_fitted_within(spark, folder)))
 
 
 @query
@@ -538,7 +543,7 @@ def attribute_select(spark, folder):
 
 @query
 def hybrid_scores(spark, folder):
-    scores = selection.hybrid_scores(*_fitted(spark, folder))
+    scores = selection.hybrid_scores(*_fitted_within(spark, folder))
     return scores.select("doc_id", *[r6(c).alias(c) for c in ("dsir_score", "attribute_score", "selection_score")])
 
 
