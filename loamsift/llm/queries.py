@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loamsift.llm import exact_dedup, line_dedup, mixing, sharding
+from loamsift.llm import exact_dedup, line_dedup, mixing, packing, quality, sharding
 from loamsift.llm.common import text_of, without_space
 from loamsift.operators.staging import stage
 
@@ -27,6 +27,12 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, folder), digest).drop("level")
 
 
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    model = quality.fit(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    return quality.score(docs, model)
+
+
 def op7_shards(spark: SparkSession, folder: str) -> DataFrame:
     sized = stage(sharding.sized_documents(documents(spark, folder)), "op7_sized")
     placed = sharding.assign_shards(sized, SHARDS)
@@ -40,9 +46,17 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op9_pack(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.tokenise(documents(spark, folder))
+    digest = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").cast("bigint").alias("ids_crc32"))
+    return packing.pack(packing.numbered(digest, "op9_pieces")).drop("_piece")
+
+
 QUERIES = {
     "op2_mix": op2_mix,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_quality": op5_quality,
     "op7_shards": op7_shards,
     "op8_line_dedup": op8_line_dedup,
+    "op9_pack": op9_pack,
 }
