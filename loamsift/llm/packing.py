@@ -20,9 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from pyspark.sql import DataFrame, functions as F
 
+from loamsift.llm import wordhash
 from loamsift.llm.common import text_of
 from loamsift.operators.ranking import add_rank
 from loamsift.operators.staging import stage
@@ -35,35 +37,76 @@ SPECIAL = {"<|endoftext|>": 50256}
 CACHE_ENTRIES = 400_000
 
 
-class _Ids(dict):
-    """Ids, as bytes, of what follows a space up to the next one. No merge reaches across that space."""
+class _Ids:
+    """Ids of whole batches of texts. What lies between two spaces is encoded once and then looked up.
+
+    A space before anything but white space always begins a new piece, so texts may be taken apart
+    there. Texts in which spaces stand next to other white space, or which name the special token,
+    are encoded as a whole.
+    """
 
     def __init__(self, path: str):
         with open(path, "rb") as file:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
         self.encoding = tiktoken.Encoding("vocabulary", pat_str=PIECES, mergeable_ranks=ranks, special_tokens=SPECIAL)
+        self.sizes = np.zeros(max(ranks.values()) + 2, np.int64)
+        for token, rank in ranks.items():
+            self.sizes[rank] = len(token)
+        self.known: dict[int, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         if "<|" in text:
-            ids = self.encoding.encode(text, allowed_special="all")
-        else:
-            ids = self.encoding.encode_ordinary(text)
-        return np.array(ids, "<u4").tobytes()
-
-    def __missing__(self, part: str) -> bytes:
-        if not part or part[0].isspace():
-            raise KeyError(part)  # white space runs may be split elsewhere: encode the text as a whole
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        self[part] = ids = self.whole(" " + part)
-        return ids
-
-    def of(self, text: str) -> bytes:
-        first, *rest = text.split(" ")
-        try:
-            return self.whole(first) + b"".join(map(self.__getitem__, rest))
-        except KeyError:
-            return self.whole(text)
+            return np.array(self.encoding.encode(text, allowed_special="all"), "<u4").tobytes()
+        return np.array(self.encoding.encode_ordinary(text), "<u4").tobytes()
+
+    def _learn(self, keys: list[int], parts: list[bytes]) -> None:
+        """Encode parts that each follow a space, in one go; they end where the sizes of their ids say."""
+        joined = b" " + b" ".join(parts)
+        ids = np.array(self.encoding.encode_ordinary(joined.decode()), "<u4")
+        ends = np.cumsum([1 + len(part) for part in parts])
+        at = np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1
+        raw, begin = ids.tobytes(), 0
+        for key, end in zip(keys, at.tolist(), strict=True):
+            self.known[key] = raw[4 * begin : 4 * end]
+            begin = end
+
+    def batch(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text, as little-endian 32-bit numbers."""
+        raw, offsets = wordhash.flat(texts)
+        space = raw == 0x20
+        begins, ends = wordhash.spans(~space, offsets)
+        n, at = len(offsets) - 1, np.searchsorted(begins, offsets)
+        first = np.zeros(len(begins), bool)
+        first[np.searchsorted(begins, offsets[:-1][offsets[:-1] < offsets[1:]])] = True
+        # Whole texts: spaces beside spaces or at an end, parts that begin with white space, special tokens.
+        odd = wordhash.sums(space, offsets) + 1 != np.diff(at)
+        head, second = raw[begins], raw[np.minimum(begins + 1, max(0, len(raw) - 1))]
+        blank = (head >= 9) & (head <= 13) | (head >= 28) & (head <= 31) | (head == 0xC2) & ((second == 0x85) | (second == 0xA0))
+        blank |= (head == 0xE1) & (second == 0x9A) | (head == 0xE2) & ((second == 0x80) | (second == 0x81)) | (head == 0xE3) & (second == 0x80)
+        odd |= wordhash.sums(blank & ~first, at) > 0
+        odd |= np.asarray(pc.match_substring(pc.fill_null(texts, ""), "<|"))
+        keys = wordhash.span_hashes(raw, begins, ends)
+        keys[first] = wordhash.mixed(keys[first] + np.uint64(1))  # the same part without a space before it
+        unique, where, which = np.unique(keys, return_index=True, return_inverse=True)
+        if len(self.known) + len(unique) > CACHE_ENTRIES:
+            self.known = {}
+        keys = unique.tolist()
+        new = np.array([k not in self.known for k in keys], bool)
+        alone = new & (first[where] | np.repeat(odd, np.diff(at))[where])
+        data, begin, end = raw.tobytes(), begins[where].tolist(), ends[where].tolist()
+        for i in np.flatnonzero(alone).tolist():
+            self.known[keys[i]] = self.whole(("" if first[where[i]] else " ") + data[begin[i] : end[i]].decode())
+        if later := np.flatnonzero(new & ~alone).tolist():
+            self._learn([keys[i] for i in later], [data[begin[i] : end[i]] for i in later])
+        found = list(map(self.known.__getitem__, keys))
+        sizes = np.array([len(x) for x in found], np.int64) // 4
+        store, starts = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes
+        each = sizes[which]
+        upto = np.cumsum(each)
+        ids = store[np.repeat(starts[which] - (upto - each), each) + np.arange(upto[-1] if len(upto) else 0)]
+        edges = np.concatenate([[0], upto])[at]
+        for k in range(n):
+            yield self.whole(texts[k].as_py() or "") if odd[k] else ids[edges[k] : edges[k + 1]].tobytes()
 
 
 @functools.lru_cache(1)
@@ -82,31 +125,30 @@ def tokenise(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAP
     path = vocabulary or default_vocabulary()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = _ids(path).of, np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        encode, end = _ids(path).batch, np.array([end_id], "<u4").tobytes()
+        for batch in (part for whole in batches for part in wordhash.slices(whole)):
             doc, piece, start, length, ids = [], [], [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                own = encode(text.as_py()) + end
+            for doc_id, own in zip(batch.column(0).to_pylist(), encode(batch.column(1)), strict=True):
+                own += end
                 total = len(own) // 4
                 cuts = [0, *range(total % capacity or capacity, total + 1, capacity)] if total > capacity else [0, total]
                 for number, (a, b) in enumerate(zip(cuts, cuts[1:])):
                     doc.append(doc_id), piece.append(number), start.append(a), length.append(b - a)
                     ids.append(own[4 * a : 4 * b])
-                if len(ids) > 5000:
-                    yield pa.record_batch([pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(ids, pa.binary())], names)
-                    doc, piece, start, length, ids = [], [], [], [], []
-            yield pa.record_batch([pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(ids, pa.binary())], names)
+            columns = [pa.array(x, pa.int64()) for x in (doc, piece, start, length)]
+            yield pa.record_batch([*columns, pa.array(ids, pa.binary())], names)
 
     names = ["doc_id", "piece", "start", "length", "ids"]
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
-    return rows.mapInArrow(pieces, "doc_id bigint, piece int, start bigint, length bigint, ids binary")
+    return rows.mapInArrow(pieces, "doc_id bigint, piece bigint, start bigint, length bigint, ids binary")
 
 
 class _Plan:
     """Patterns (lengths in a sequence) and how often each is used, from one count per length."""
 
-    def __init__(self, counts: np.ndarray, capacity: int):
-        self.left, self.capacity = counts.astype(np.int64), capacity
+    def __init__(self, counts: np.ndarray, capacity: int, parts: int):
+        """``parts``: of how many lengths a complement may consist."""
+        self.left, self.capacity, self.parts = counts.astype(np.int64), capacity, parts
         self.patterns: list[tuple[tuple[int, ...], int]] = []
         for length in range(capacity, 0, -1):
             while self.left[length] and (rest := self._complement(length)) is not None:
@@ -135,11 +177,11 @@ class _Plan:
         gap = self.capacity - length
         if gap == 0:
             return ()
-        if gap <= length and self.left[gap] and self._times((length, gap)):
+        if self.parts >= 1 and gap <= length and self.left[gap] and self._times((length, gap)):
             return (gap,)
-        if (pair := self._pair(length, gap)) is not None:
+        if self.parts >= 2 and (pair := self._pair(length, gap)) is not None:
             return pair
-        for third in np.flatnonzero(self.left[: gap // 3 + 1])[::-1]:
+        for third in np.flatnonzero(self.left[: gap // 3 + 1])[::-1] if self.parts >= 3 else ():
             if (pair := self._pair(length, gap - int(third), int(third))) is not None:
                 return pair
         return None
@@ -164,10 +206,15 @@ class _Plan:
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
+    """The plan with the fewest sequences: complements of up to three, two, one or no lengths come first.
+
+    Triples can use up the short pieces that best fit needs for other gaps, so fewer may be better.
+    """
     array = np.zeros(capacity + 1, np.int64)
     for length, n in counts.items():
         array[length] = n
-    return _Plan(array, capacity).patterns
+    plans = [_Plan(array, capacity, parts).patterns for parts in (3, 2, 1, 0)]
+    return min(plans, key=lambda patterns: sum(times for _, times in patterns))
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:

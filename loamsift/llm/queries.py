@@ -48,7 +48,7 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_pack(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.tokenise(documents(spark, folder))
-    digest = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").cast("bigint").alias("ids_crc32"))
+    digest = pieces.select("doc_id", F.col("piece").cast("int").alias("piece"), "start", "length", F.crc32("ids").cast("bigint").alias("ids_crc32"))
     return packing.pack(packing.numbered(digest, "op9_pieces")).drop("_piece")
 
 
