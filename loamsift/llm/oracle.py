@@ -35,6 +35,30 @@ ORACLE = {
                ((floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END) * size)::BIGINT AS taken
         FROM docs JOIN rates ON docs.source IS NOT DISTINCT FROM rates.source
     """,
+    # Every pair that shares a shingle is compared, and labels spread along links until they settle.
+    "op3_near_dedup": rf"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {LOWER}), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), sets AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) END AS s
+            FROM words
+        ), shingles AS (
+            SELECT doc_id, unnest(s) AS shingle FROM sets
+        ), pairs AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+            FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL
+        ), links AS (
+            SELECT a, b FROM pairs JOIN sets sa ON sa.doc_id = a JOIN sets sb ON sb.doc_id = b
+            WHERE 100 * common >= 75 * (len(sa.s) + len(sb.s) - common)
+        ), reached AS (
+            SELECT doc_id, doc_id AS label FROM documents
+            UNION
+            SELECT links.b, reached.label FROM reached JOIN links ON links.a = reached.doc_id
+        )
+        SELECT sets.doc_id, len(s)::BIGINT AS n_shingles, min(label) AS component_id, sets.doc_id = min(label) AS kept
+        FROM sets JOIN reached USING (doc_id) GROUP BY sets.doc_id, len(s)
+    """,
     "op4_exact_dedup": rf"""
         WITH plain AS (
             SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '{SPACE}+', '', 'g')) AS text_sha256,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loamsift.llm import exact_dedup, line_dedup, mixing, packing, quality, sharding
+from loamsift.llm import exact_dedup, line_dedup, minhash, mixing, packing, quality, sharding
 from loamsift.llm.common import text_of, without_space
 from loamsift.operators.staging import stage
 
@@ -22,6 +22,10 @@ def op2_mix(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", (mixing.copies() * F.col("size")).alias("taken"))
 
 
+def op3_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, folder)).drop("_text_hash")
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     digest = {"text_sha256": F.sha2(without_space(text_of()), 256)}
     return exact_dedup.exact_groups(documents(spark, folder), digest).drop("level")
@@ -54,6 +58,7 @@ def op9_pack(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op2_mix": op2_mix,
+    "op3_near_dedup": op3_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_quality": op5_quality,
     "op7_shards": op7_shards,
