@@ -2,11 +2,49 @@
 
 from __future__ import annotations
 
+from loamsift.llm.licenses import TEMPLATES
+
 SPACE = r"[\x20\x09-\x0D]"
 SPACE_CHARS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
+NOTICES = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(TEMPLATES))
+
+
+def bigrams(words: str) -> str:
+    return f"list_distinct(list_transform(range(1, len({words})), lambda i: {words}[i] || ' ' || {words}[i + 1]))"
+
+
 ORACLE = {
+    "op1_licenses": rf"""
+        WITH templates AS (
+            SELECT i, name, {bigrams("w")} AS own
+            FROM (SELECT i, name, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM (VALUES {NOTICES}) t(i, name, text))
+        ), lines AS (
+            SELECT doc_id, regexp_replace(translate(coalesce(text, ''), {LOWER}), '[^a-z0-9\n]+', ' ', 'g') AS text FROM documents
+        ), pieces AS (
+            SELECT doc_id, 0 AS kind, unnest(string_split(text, chr(10))) AS piece,
+                   generate_subscripts(string_split(text, chr(10)), 1) AS number FROM lines
+            UNION ALL
+            SELECT doc_id, 1, unnest(string_split_regex(text, '\n ?\n')), generate_subscripts(string_split_regex(text, '\n ?\n'), 1) FROM lines
+        ), sized AS (
+            SELECT doc_id, kind, number, {bigrams("w")} AS own
+            FROM (SELECT doc_id, kind, number, regexp_extract_all(piece, '[a-z0-9]+') AS w FROM pieces
+                  WHERE kind = 0 OR contains(piece, chr(10)))
+        ), compared AS (
+            SELECT doc_id, kind, number, name, i, 2.0::DOUBLE * len(list_intersect(s.own, t.own)) / (len(s.own) + len(t.own)) AS dice
+            FROM sized s JOIN templates t ON len(s.own) BETWEEN len(t.own) * 0.6 AND len(t.own) * 1.7 AND list_has_any(s.own, t.own)
+        ), best AS (
+            SELECT * FROM compared WHERE dice >= 0.8
+            QUALIFY row_number() OVER (PARTITION BY doc_id, kind, number ORDER BY dice DESC, i) = 1
+        ), found AS (
+            SELECT doc_id, count(*) AS n_matches, arg_min(name, (-dice, kind, number, i)) AS license, max(dice) AS dice,
+                   string_agg(DISTINCT name, ',' ORDER BY name) AS licenses
+            FROM best GROUP BY doc_id
+        )
+        SELECT d.doc_id, coalesce(n_matches, 0) AS n_matches, license, dice, coalesce(licenses, '') AS licenses
+        FROM documents d LEFT JOIN found USING (doc_id)
+    """,
     # The level is found at once: with sources by limit over weight, the first ones are full as long
     # as the level of the rest lies above their own limit.
     "op2_mix": rf"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loamsift.llm import exact_dedup, line_dedup, minhash, mixing, packing, quality, sharding
+from loamsift.llm import exact_dedup, licenses, line_dedup, minhash, mixing, packing, quality, sharding
 from loamsift.llm.common import text_of, without_space
 from loamsift.operators.staging import stage
 
@@ -15,6 +15,15 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op1_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(documents(spark, folder))
+    best = F.array_max(F.transform("matches", lambda m: F.struct(m["dice"], -m["piece"], -m["template"], m["license"])))
+    return found.select(
+        "doc_id", F.size("matches").cast("bigint").alias("n_matches"), best["license"].alias("license"), best["dice"].alias("dice"),
+        F.array_distinct(F.transform("matches", lambda m: m["license"])).alias("_all"),
+    ).select("doc_id", "n_matches", "license", "dice", F.array_join(F.array_sort("_all"), ",").alias("licenses"))
+
+
 def op2_mix(spark: SparkSession, folder: str) -> DataFrame:
     sized = stage(mixing.sized_documents(documents(spark, folder)), "op2_sized")
     targets = stage(mixing.source_targets(sized), "op2_targets")
@@ -57,6 +66,7 @@ def op9_pack(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_licenses": op1_licenses,
     "op2_mix": op2_mix,
     "op3_near_dedup": op3_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
