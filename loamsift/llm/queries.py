@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loamsift.llm import exact_dedup, licenses, line_dedup, minhash, mixing, packing, quality, sharding
+from loamsift.llm import class_lm, exact_dedup, licenses, line_dedup, minhash, mixing, packing, quality, sharding
 from loamsift.llm.common import text_of, without_space
 from loamsift.operators.staging import stage
 
@@ -46,6 +46,13 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(docs, model)
 
 
+def op6_class_lm(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 10 == 0
+    blocks = class_lm.tokenised(documents(spark, folder), held_out)
+    words = class_lm.vocabulary(blocks)
+    return class_lm.score(blocks, words, class_lm.fit(blocks, words))
+
+
 def op7_shards(spark: SparkSession, folder: str) -> DataFrame:
     sized = stage(sharding.sized_documents(documents(spark, folder)), "op7_sized")
     placed = sharding.assign_shards(sized, SHARDS)
@@ -71,6 +78,7 @@ QUERIES = {
     "op3_near_dedup": op3_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_quality": op5_quality,
+    "op6_class_lm": op6_class_lm,
     "op7_shards": op7_shards,
     "op8_line_dedup": op8_line_dedup,
     "op9_pack": op9_pack,
