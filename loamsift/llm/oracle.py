@@ -85,14 +85,16 @@ ORACLE = {
             SELECT doc_id, unnest(s) AS shingle FROM sets
         ), pairs AS (
             SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
-            FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL
+            FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY ALL
         ), links AS (
             SELECT a, b FROM pairs JOIN sets sa ON sa.doc_id = a JOIN sets sb ON sb.doc_id = b
             WHERE 100 * common >= 75 * (len(sa.s) + len(sb.s) - common)
+        ), "both" AS (
+            SELECT a, b FROM links UNION ALL SELECT b, a FROM links
         ), reached AS (
             SELECT doc_id, doc_id AS label FROM documents
             UNION
-            SELECT links.b, reached.label FROM reached JOIN links ON links.a = reached.doc_id
+            SELECT "both".b, reached.label FROM reached JOIN "both" ON "both".a = reached.doc_id
         )
         SELECT sets.doc_id, len(s)::BIGINT AS n_shingles, min(label) AS component_id, sets.doc_id = min(label) AS kept
         FROM sets JOIN reached USING (doc_id) GROUP BY sets.doc_id, len(s)
@@ -127,4 +129,24 @@ ORACLE = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
         FROM marked GROUP BY doc_id
     """,
+    # All windows of 50 words that two documents hold, merged where they overlap or touch.
+    "op10_suffix_array": rf"""
+        WITH words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {LOWER}), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), places AS (
+            SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM words
+        ), windows AS (
+            SELECT doc_id, i, md5(string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)) AS key,
+                   count(*) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING) AS n
+            FROM places
+        ), shared AS (
+            SELECT key FROM windows WHERE n = 50 GROUP BY key HAVING count(DISTINCT doc_id) > 1
+        ), hits AS (
+            SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS new
+            FROM windows SEMI JOIN shared USING (key) WHERE n = 50
+        ), spans AS (
+            SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM hits
+        )
+        SELECT doc_id, min(i)::BIGINT AS start_word, max(i)::BIGINT + 50 AS end_word FROM spans GROUP BY doc_id, span
+    """,
 }

@@ -120,9 +120,13 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-def tokenise(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """A row per piece: ``doc_id, piece, start, length, ids`` (little-endian 32-bit numbers)."""
+def tokenise(
+    docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, bits: int = 32
+) -> DataFrame:
+    """A row per piece: ``doc_id, piece, start, length, ids`` (little-endian numbers of 32 or 16 ``bits``)."""
     path = vocabulary or default_vocabulary()
+    if bits not in (16, 32):
+        raise ValueError("bits must be 16 or 32")
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = _ids(path).batch, np.array([end_id], "<u4").tobytes()
@@ -131,10 +135,12 @@ def tokenise(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAP
             for doc_id, own in zip(batch.column(0).to_pylist(), encode(batch.column(1)), strict=True):
                 own += end
                 total = len(own) // 4
+                if bits == 16:  # two bytes are enough for up to 65,536 ids
+                    own = np.frombuffer(own, "<u4").astype("<u2").tobytes()
                 cuts = [0, *range(total % capacity or capacity, total + 1, capacity)] if total > capacity else [0, total]
                 for number, (a, b) in enumerate(zip(cuts, cuts[1:])):
                     doc.append(doc_id), piece.append(number), start.append(a), length.append(b - a)
-                    ids.append(own[4 * a : 4 * b])
+                    ids.append(own[bits // 8 * a : bits // 8 * b])
             columns = [pa.array(x, pa.int64()) for x in (doc, piece, start, length)]
             yield pa.record_batch([*columns, pa.array(ids, pa.binary())], names)
 
@@ -261,7 +267,7 @@ def numbered(pieces: DataFrame, name: str) -> DataFrame:
 
 
 def packed_documents(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """A row per piece with its ids: ``doc_id, piece, start, length, sequence_id, offset, ids``."""
-    pieces = numbered(tokenise(docs, vocabulary, capacity), "op9_ids")
+    """A row per piece with its ids (16 bits each): ``doc_id, piece, start, length, sequence_id, offset, ids``."""
+    pieces = numbered(tokenise(docs, vocabulary, capacity, bits=16), "op9_ids")
     placed = pack(pieces.drop("ids"), capacity)
     return placed.join(pieces.select("_piece", "ids"), "_piece").drop("_piece")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loamsift.llm import class_lm, exact_dedup, licenses, line_dedup, minhash, mixing, packing, quality, sharding
+from loamsift.llm import class_lm, exact_dedup, licenses, line_dedup, minhash, mixing, packing, quality, sharding, suffix_array
 from loamsift.llm.common import text_of, without_space
 from loamsift.operators.staging import stage
 
@@ -72,6 +72,11 @@ def op9_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(packing.numbered(digest, "op9_pieces")).drop("_piece")
 
 
+def op10_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
+    spans = suffix_array.repeated_spans(documents(spark, folder))
+    return spans.select("doc_id", "start_word", "end_word")
+
+
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op2_mix": op2_mix,
@@ -82,4 +87,5 @@ QUERIES = {
     "op7_shards": op7_shards,
     "op8_line_dedup": op8_line_dedup,
     "op9_pack": op9_pack,
+    "op10_suffix_array": op10_suffix_array,
 }
