@@ -38,3 +38,8 @@ def ascii_lower(text: Column) -> Column:
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df``, marked for broadcast only if it has at most ``rows`` rows. Pass narrow, written tables."""
     return F.broadcast(df) if df.count() <= rows else df
+
+
+def boxed(docs: DataFrame, *columns: Column | str) -> DataFrame:
+    """Each row as one value ``_row`` beside working columns, whose names then can't clash with its own."""
+    return docs.select(F.struct("*").alias("_row"), *columns)

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from loamsift.llm.common import small_side, text_of, without_space
+from loamsift.llm.common import boxed, small_side, text_of, without_space
 from loamsift.operators.staging import stage
 
 PREFIX_CHARS = 64
@@ -72,15 +72,15 @@ def exact_groups(docs: DataFrame, extra: dict[str, Column] | None = None) -> Dat
 
 def survivors(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that exact dedup keeps: one row of each group of equal texts."""
-    hashed = docs.withColumn("_text_hash", F.xxhash64(text_of()))
+    hashed = boxed(docs, "doc_id", F.xxhash64(text_of()).alias("_text_hash"))
     kept = stage(
         exact_groups(docs, {"_text_hash": F.xxhash64(text_of())}).where("kept").select("doc_id", "_text_hash"),
         "op4_kept",
-    ).alias("kept")
+    ).toDF("_doc", "_hash")
     # Each kept row is the only one of its text, so the text's hash and its id name it.
-    same = hashed["doc_id"].eqNullSafe(F.col("kept.doc_id")) & (hashed["_text_hash"] == F.col("kept._text_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_text_hash") == F.col("_hash"))
     rows = hashed.join(kept.hint("shuffle_hash"), same, "left_semi")
     repeats = docs.groupBy("doc_id").count().where("count > 1").head(1)
     if repeats:
         rows = rows.dropDuplicates(["doc_id", "_text_hash"])
-    return rows.select(*docs.columns)
+    return rows.select("_row.*")

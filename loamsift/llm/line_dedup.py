@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from loamsift.llm.common import SPACE_CHARS, ascii_lower, text_of
+from loamsift.llm.common import SPACE_CHARS, ascii_lower, boxed, text_of
 from loamsift.operators.staging import stage
 
 MIN_CHARS = 20
@@ -71,8 +71,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
 def drop_lines(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """``docs`` with ``text`` cut by its bitmap; ``n_lines`` (before) and ``n_dropped`` are added, or replaced."""
     bitmaps = stage(bitmaps, "op8_bitmaps").withColumnsRenamed({"doc_id": "_doc", "_text_hash": "_hash", "dropped": "_runs"})
-    names = [name for name in docs.columns if name.lower() not in ("n_lines", "n_dropped")]
-    hashed = docs.select(*names, F.xxhash64(text_of()).alias("_text_hash"))
+    hashed = boxed(docs.drop("n_lines", "n_dropped"), "doc_id", "text", F.xxhash64(text_of()).alias("_text_hash"))
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_text_hash") == F.col("_hash"))
     joined = hashed.join(bitmaps.hint("shuffle_hash"), same, "left").withColumn("_lines", lines_of(text_of()))
     # Kept runs lie between the dropped ones: from the line after one to the line before the next.
@@ -81,8 +80,9 @@ def drop_lines(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     runs = F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
     kept = F.array_join(F.flatten(F.transform(runs, lambda run: F.slice(F.col("_lines"), run["a"] + 1, run["b"] - run["a"]))), "\n")
     gone = F.aggregate("_runs", F.lit(0), lambda n, run: n + run["last"] - run["first"] + 1)
+    text = F.when(F.col("_runs").isNull(), text_of()).otherwise(kept)
     return joined.select(
-        *[F.when(F.col("_runs").isNull(), text_of()).otherwise(kept).alias("text") if name == "text" else name for name in names],
+        F.col("_row").withField("text", text).alias("_row"),
         F.size("_lines").cast("bigint").alias("n_lines"),
         F.coalesce(gone, F.lit(0)).cast("bigint").alias("n_dropped"),
-    )
+    ).select("_row.*", "n_lines", "n_dropped")

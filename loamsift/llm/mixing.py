@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from loamsift.functions.seeded import uniform
-from loamsift.llm.common import small_side, text_of, word_count
+from loamsift.llm.common import boxed, small_side, text_of, word_count
 from loamsift.operators.keyed_join import spread_join
 from loamsift.operators.ranking import add_rank
 from loamsift.operators.staging import stage
@@ -87,7 +87,6 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with every row as often as the mix takes it, numbered by ``copy`` from 0."""
     seed = options.pop("seed", SEED)
     targets = stage(source_targets(sized_documents(docs, seed), **options), "op2_targets")
-    names = [name for name in docs.columns if name.lower() != "copy"]
-    rows = _keyed(docs).withColumn("_draw", uniform(seed, F.col("doc_id"), F.md5(text_of())))
-    taken = with_targets(rows, targets).withColumn("_copies", copies()).where("_copies > 0")
-    return taken.select(*names, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1)).alias("copy"))
+    rows = boxed(docs.drop("copy"), "source", "doc_id", uniform(seed, F.col("doc_id"), F.md5(text_of())).alias("_draw"))
+    taken = with_targets(_keyed(rows), targets).withColumn("_copies", copies()).where("_copies > 0")
+    return taken.select("_row.*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1)).alias("copy"))

@@ -56,7 +56,8 @@ def _features(raw: np.ndarray, offsets: np.ndarray, word: np.ndarray, at: np.nda
     grams = units[:n] | units[1 : n + 1] << np.uint32(8) | units[2 : n + 2] << np.uint32(16) | units[3 : n + 3] << np.uint32(24)
     grams = ((grams * np.uint32(0x9E3779B1)) >> np.uint32(32 - HALF_BITS)).astype(np.int64) + HALF
     # 4-grams that reach into the next text stay out: each text gives the first ``size - 3`` of its own.
-    first, last = offsets[:-1], np.maximum(offsets[:-1], np.minimum(offsets[1:] - 3, n))
+    first = np.minimum(offsets[:-1], n)
+    last = np.maximum(first, np.minimum(offsets[1:] - 3, n))
     return words, n_words, n_pairs, grams, first, last
 
 

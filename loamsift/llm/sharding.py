@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from loamsift.llm.common import text_of
+from loamsift.llm.common import boxed, text_of
 from loamsift.operators.ranking import add_rank
 from loamsift.operators.staging import stage
 
@@ -136,12 +136,12 @@ def write_shards(docs: DataFrame, path: str, shards: int, virtual: int = VIRTUAL
     key = ["doc_id", "text_crc32", "size"]
     number = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0)))
     placed = assign_shards(sized_documents(docs), shards, virtual, slack).withColumn("_number", number)
-    names = [name for name in docs.columns if name.lower() not in ("shard", "slot")]
-    rows = docs.select(*names, F.crc32(F.encode(text_of(), "UTF-8")).alias("_crc"), (F.octet_length(text_of()) + OVERHEAD).cast("bigint").alias("_size"))
+    text = F.crc32(F.encode(text_of(), "UTF-8")).alias("_crc")
+    rows = boxed(docs.drop("shard", "slot"), "doc_id", text, (F.octet_length(text_of()) + OVERHEAD).cast("bigint").alias("_size"))
     rows = rows.withColumn("_number", F.row_number().over(Window.partitionBy("doc_id", "_crc", "_size").orderBy(F.lit(0))))
     placed = placed.withColumnRenamed("doc_id", "_doc").withColumnRenamed("_number", "_turn")
     same = (
         F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_crc") == F.col("text_crc32"))
         & (F.col("_size") == F.col("size")) & (F.col("_number") == F.col("_turn"))
     )
-    rows.join(placed, same).select(*names, "shard", "slot").repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    rows.join(placed, same).select("_row.*", "shard", "slot").repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
