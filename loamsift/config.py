@@ -40,21 +40,15 @@ class IngestConfig:
 
 @dataclass(frozen=True)
 class DedupConfig:
-    """``similarity`` is ``jaccard`` (word 3-gram sets) or ``ratio`` (character
-    matching blocks, checked on pairs whose 3-gram sets reach ``ratio_signature_floor``)."""
+    """Documents are near duplicates if the Jaccard index of their word n-gram sets is high enough.
+    ``keep`` says which document of a group stays: the ``first`` or the ``last``."""
 
     exact: bool = True
     fuzzy: bool = True
     hash_type: str = "md5"
     shingle_words: int = 3
-    similarity: str = "jaccard"
     jaccard_threshold: float = 0.6
-    ratio_threshold: float = 0.85
-    ratio_signature_floor: float = 0.2
-
-    @property
-    def signature_threshold(self) -> float:
-        return self.jaccard_threshold if self.similarity == "jaccard" else self.ratio_signature_floor
+    keep: str = "first"
 
 
 @dataclass(frozen=True)

@@ -1,25 +1,25 @@
 """Batches drawn by domain or by attribute.
 
-What is known about the groups (a name, a count and a weight each) fits on the driver and
-goes into the plan as literals. The documents stay distributed: each gets a dense rank in
-its group, and a drawn (group, rank) is joined to it. Draws depend on the seed and the draw
-number alone, so a retried task or another partitioning gives the same batch.
+Groups are a table (a name, a place, a count and a weight each) of any length, broadcast only
+where it has few rows. The documents stay distributed: each gets a dense rank in its group,
+and a drawn (group, rank) is joined to it. Draws depend on the seed and the draw number
+alone, so a retried task or another partitioning gives the same batch.
 """
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
-
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loamsift.config import SamplingConfig
 from loamsift.functions.lookup import weight_of
 from loamsift.functions.seeded import uniform
+from loamsift.operators.keyed_join import spread_join
 from loamsift.operators.ranking import add_rank
 from loamsift.operators.staging import stage
 
-MAX_GROUPS = 10_000
+FEW_GROUPS = 10_000  # that many rows of a group table may be broadcast
+CELLS = 4096  # equal parts of [0, 1) by which draws meet the groups
 
 
 def group_statistics(df: DataFrame, by: str = "domain") -> DataFrame:
@@ -67,19 +67,14 @@ def bucket_weights(stats: DataFrame, cfg: SamplingConfig = SamplingConfig()) ->
     return stats.select("bucket", (scaled / F.sum(scaled).over(Window.partitionBy(F.lit(0)))).alias("weight"))
 
 
-@dataclass(frozen=True)
-class Group:
-    name: str
-    count: int
-    weight: float
+def fit_groups(stats: DataFrame, weights: DataFrame, by: str = "domain") -> DataFrame:
+    """The groups in order of first appearance: (by, index, count, weight)."""
+    ranked = add_rank(stats.join(weights, by).select(by, "first_id", "count", "weight"), [F.col("first_id"), F.col(by)], "index")
+    return stage(ranked.drop("first_id"), "fitted_groups")
 
 
-def fit_groups(stats: DataFrame, weights: DataFrame, by: str = "domain") -> list[Group]:
-    """The groups in order of first appearance."""
-    rows = stats.join(weights, by).orderBy("first_id").limit(MAX_GROUPS + 1).collect()
-    if len(rows) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups in {by!r}: not a domain or attribute")
-    return [Group(r[by], r["count"], r["weight"]) for r in rows]
+def _few(groups: DataFrame) -> DataFrame:
+    return F.broadcast(groups) if groups.count() <= FEW_GROUPS else groups
 
 
 def _named(df: DataFrame, by: str) -> DataFrame:
@@ -89,35 +84,59 @@ def _named(df: DataFrame, by: str) -> DataFrame:
 # --- round robin -----------------------------------------------------------------------
 
 
-def _stop(groups: list[Group], used: list[int], size: int, epochs: int) -> int:
-    """Length of a batch: it fills round by round until a group has none left for its turn."""
-    n = len(groups)
-    return min([size] + [(epochs * g.count - used[i]) * n + i for i, g in enumerate(groups)])
-
-
-def _turns(length: int, index: int, n: int) -> int:
+def _turns(length, index, n: int):
     """How many of the first ``length`` positions fall to group ``index`` of ``n``."""
-    return max(0, -(-(length - index) // n))
+    return np.maximum(0, -(-(length - index) // n))
 
 
-def _shuffled(ids: DataFrame, by: str, groups: list[Group], need: dict[str, int], cfg: SamplingConfig) -> DataFrame:
-    """(doc_id, by, rank): seeded order within each group, epoch after epoch.
+def _stretches(counts: np.ndarray, size: int, n_batches: int, epochs: int) -> list[tuple[int, int, int]]:
+    """(first batch, batches, length): a batch fills round by round until a group has none left for its turn.
 
-    Only the first ``need`` ranks of a group are used, so where that is a small part of it
-    only rows below a cut are sorted. The cut is checked by counting and dropped if it was
+    Batches stay alike until a group runs short, so there are at most two stretches a group.
+    """
+    n, index = len(counts), np.arange(len(counts))
+    left, first, found = epochs * counts, 0, []
+    while n and first < n_batches:
+        length = int(min(size, (left * n + index).min()))
+        if length == 0:
+            break
+        turns = _turns(length, index, n)
+        # Later batches are never longer, so the last one that is as long is found by halving.
+        alike, beyond = 1, 1 + int(min(n_batches - first, (left[turns > 0] // turns[turns > 0]).min()))
+        while beyond - alike > 1:
+            middle = (alike + beyond) // 2
+            if int(min(size, ((left - (middle - 1) * turns) * n + index).min())) == length:
+                alike = middle
+            else:
+                beyond = middle
+        found.append((first, alike, length))
+        left, first = left - alike * turns, first + alike
+    return found
+
+
+def _shuffled(ids: DataFrame, by: str, groups: DataFrame, cfg: SamplingConfig) -> DataFrame:
+    """(doc_id, index, rank): seeded order within each group, epoch after epoch.
+
+    ``groups`` says by ``need`` how many ranks of each are used. Where that is a small part of
+    it only rows below a cut are sorted. The cut is checked by counting and dropped if it was
     too low, so it never changes the result.
     """
     draw = ids.select("doc_id", by, F.explode(F.sequence(F.lit(0), F.lit(cfg.max_epochs - 1))).alias("_epoch"))
     draw = draw.withColumn("_u", uniform(cfg.seed, F.col("_epoch"), F.col("doc_id")))
+    share = (F.col("need") + 10 * F.sqrt("need") + 100) / F.col("count")
+    limits = groups.select(by, "index", F.when(F.col("need") <= F.col("count"), share).otherwise(2.0).alias("_share"))
+    draw = _with_groups(draw, limits, by)
+    cut = stage(draw.where(F.col("_u") < F.col("_share")).drop("_share"), "below_cut")
+    held = cut.where("_epoch = 0").groupBy("index").agg(F.count("*").alias("_held"))
+    short = groups.join(held, "index", "left").where(F.coalesce("_held", F.lit(0)) < F.least("need", "count"))
     order = [F.col("_epoch"), F.col("_u"), F.col("doc_id")]
-    share = {}
-    for g in groups:
-        k = need[g.name]
-        share[g.name] = (k + 10 * math.sqrt(k) + 100) / g.count if k <= g.count else 2.0
-    cut = stage(draw.where(F.col("_u") < weight_of(F.col(by), share, 0.0)), "below_cut")
-    held = {r[by]: r["n"] for r in cut.where("_epoch = 0").groupBy(by).agg(F.count("*").alias("n")).collect()}
-    enough = all(held.get(g.name, 0) >= min(need[g.name], g.count) for g in groups)
-    return add_rank(cut if enough else draw, order, within=by).drop("_epoch", "_u")
+    return add_rank(cut if short.isEmpty() else draw.drop("_share"), order, within="index").drop("_epoch", "_u")
+
+
+def _with_groups(rows: DataFrame, groups: DataFrame, by: str) -> DataFrame:
+    """Attach group columns; a group that holds a large part of the rows is split where the table isn't broadcast."""
+    few = _few(groups)
+    return rows.join(few, by) if few is not groups else spread_join(rows, groups, by, "doc_id")
 
 
 def unimax_batches(
@@ -131,27 +150,28 @@ def unimax_batches(
     spark = df.sparkSession
     stats = stage(group_statistics(df, by), "groups")
     groups = fit_groups(stats, unimax_weights(stats, by), by)
-    n, used, plan = len(groups), [0] * len(groups), []
-    for batch in range(n_batches):
-        length = _stop(groups, used, size, cfg.max_epochs) if groups else 0
-        for i, g in enumerate(groups):
-            turns = _turns(length, i, n)
-            if turns:
-                plan.append((batch, g.name, i, used[i], turns))
-            used[i] += turns
-    slots = spark.createDataFrame(
-        plan, f"batch_id int, {by} string, _index int, _start bigint, _turns bigint"
-    ).select(
-        "batch_id", by, "_index", "_start", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_turns") - 1)).alias("_turn")
-    ).select(
-        "batch_id",
-        (F.col("_turn") * F.lit(n) + F.col("_index")).alias("position"),
-        by,
-        (F.col("_start") + F.col("_turn")).alias("rank"),
-    )
-    need = {g.name: used[i] for i, g in enumerate(groups)}
-    ranked = _shuffled(_named(df, by), by, groups, need, cfg)
-    return slots.join(ranked, [by, "rank"]).select("batch_id", "position", "doc_id", by)
+    # One number per group comes to the driver, never one per batch.
+    counts = groups.select("index", "count").orderBy("index").toArrow().column("count").to_numpy()
+    n, index, slots = len(counts), F.col("index"), None
+    used, used_here = F.lit(0).cast("bigint"), np.zeros(len(counts), np.int64)
+    for first, batches, length in _stretches(counts, size, n_batches, cfg.max_epochs):
+        turns = F.greatest(F.lit(0), F.ceil((F.lit(length) - index) / F.lit(n))).cast("bigint")
+        here = spark.range(batches * length).select(
+            (F.col("id") / length).cast("bigint").alias("_batch"), (F.col("id") % length).alias("position")
+        ).withColumn("index", F.col("position") % n)
+        here = here.select(
+            (F.col("_batch") + first).alias("batch_id"), "position", "index",
+            (used + F.col("_batch") * turns + F.floor(F.col("position") / n)).alias("rank"),
+        )
+        slots = here if slots is None else slots.unionByName(here)
+        used = used + turns * batches
+        used_here = used_here + batches * _turns(length, np.arange(n), n)
+    if slots is None:
+        slots = spark.range(0).select(*[F.col("id").alias(x) for x in ("batch_id", "position", "index", "rank")])
+    needed = groups.select(by, "index", "count", used.alias("need"))
+    ranked = _shuffled(_named(df, by), by, needed, cfg)
+    found = slots.join(ranked, ["index", "rank"])
+    return found.select(F.col("batch_id").cast("int").alias("batch_id"), "position", "doc_id", by)
 
 
 def unimax_batch(df: DataFrame, size: int, cfg: SamplingConfig = SamplingConfig(), by: str = "domain") -> DataFrame:
@@ -161,28 +181,31 @@ def unimax_batch(df: DataFrame, size: int, cfg: SamplingConfig = SamplingConfig(
 # --- weighted draws with replacement ---------------------------------------------------
 
 
-def weighted_draws(
-    df: DataFrame, by: str, groups: list[Group], masses: list[float], n_draws: int, seed: int
-) -> DataFrame:
-    """(draw, doc_id, by): a group by its mass, then one of its documents evenly."""
+def weighted_draws(df: DataFrame, by: str, groups: DataFrame, n_draws: int, seed: int) -> DataFrame:
+    """(draw, doc_id, by): a group by its ``mass``, then one of its documents evenly.
+
+    Groups are intervals of [0, 1); draws and intervals meet by the equal cells that they fall into.
+    """
     spark = df.sparkSession
-    total, run, ends = sum(masses), 0.0, []
-    for mass in masses[:-1]:
-        run += mass
-        ends.append(run / total)
-    upper = F.array(*[F.lit(e) for e in ends]) if ends else F.array().cast("array<double>")
-    names = F.array(*[F.lit(g.name) for g in groups])
-    counts = F.array(*[F.lit(g.count).cast("bigint") for g in groups])
+    upto = Window.orderBy("index")  # one row per group
+    total = F.sum("mass").over(Window.partitionBy(F.lit(0)))
+    ends = groups.withColumn("_run", F.sum("mass").over(upto)).withColumns({
+        "_last": F.lead("index").over(upto).isNull(), "_end": F.col("_run") / total,
+    })
+    ends = ends.withColumn("_begin", F.coalesce(F.lag("_end").over(upto), F.lit(0.0)))
+    ends = ends.withColumn("_end", F.when(F.col("_last"), 2.0).otherwise(F.col("_end")))
+    cell = lambda x: F.least(F.floor(x * CELLS), F.lit(CELLS - 1)).cast("bigint")
+    cells = stage(ends.select(
+        by, "index", "count", "_begin", "_end", F.explode(F.sequence(cell(F.col("_begin")), cell(F.col("_end")))).alias("_cell")
+    ), "group_cells")
     draws = spark.range(n_draws).select(
         F.col("id").alias("draw"),
         uniform(f"{seed}:group", F.col("id")).alias("_u"),
         uniform(f"{seed}:member", F.col("id")).alias("_v"),
-    ).withColumn("_index", F.size(F.filter(upper, lambda end: end <= F.col("_u"))) + 1)
-    picked = draws.select(
-        "draw",
-        F.element_at(names, F.col("_index")).alias(by),
-        F.floor(F.col("_v") * F.element_at(counts, F.col("_index"))).alias("rank"),
-    )
+    ).withColumn("_cell", cell(F.col("_u")))
+    picked = draws.join(F.broadcast(cells) if cells.count() <= FEW_GROUPS else cells, "_cell").where(
+        (F.col("_begin") <= F.col("_u")) & (F.col("_u") < F.col("_end"))
+    ).select("draw", by, F.floor(F.col("_v") * F.col("count")).alias("rank"))
     ranked = add_rank(_named(df, by), [F.col("doc_id")], within=by)
     return picked.join(ranked, [by, "rank"]).select("draw", "doc_id", by)
 
@@ -195,9 +218,9 @@ def _document_weighted(
     A group's mass is then its weight times its size; ``documented`` takes the weight alone.
     """
     groups = fit_groups(stats, weights, by)
-    masses = [g.weight * (1 if documented else g.count) for g in groups]
-    n_draws = min(size, sum(g.count for g in groups))
-    return weighted_draws(df, by, groups, masses, n_draws, cfg.seed)
+    mass = F.col("weight") * (F.lit(1) if documented else F.col("count"))
+    n_draws = min(size, groups.agg(F.sum("count")).first()[0] or 0)
+    return weighted_draws(df, by, groups.withColumn("mass", mass), n_draws, cfg.seed)
 
 
 def alpha_batch(
@@ -225,7 +248,7 @@ def attribute_batch(df: DataFrame, size: int, cfg: SamplingConfig = SamplingConf
     buckets = with_buckets(df, fine)
     stats = stage(group_statistics(buckets, "bucket"), "groups")
     groups = fit_groups(stats, bucket_weights(stats, cfg), "bucket")
-    return weighted_draws(buckets, "bucket", groups, [g.weight for g in groups], size, cfg.seed)
+    return weighted_draws(buckets, "bucket", groups.withColumn("mass", F.col("weight")), size, cfg.seed)
 
 
 # --- choice of method ------------------------------------------------------------------
@@ -271,6 +294,7 @@ def with_sampling_weight(df: DataFrame, cfg: SamplingConfig = SamplingConfig(),
     stats = stage(group_statistics(df, by), "groups")
     method = method_by_composition(df, cfg).first()["method"]
     weights = alpha_weights(stats, cfg.alpha, by) if method == "alpha" else unimax_weights(stats, by)
-    known = {g.name: g.weight for g in fit_groups(stats, weights, by)}
-    weight = weight_of(F.coalesce(by, F.lit("unknown")), known, 0.0)
-    return df.withColumn("sampling_method", F.lit(method)).withColumn("sampling_weight", weight)
+    named = df.withColumn("_group", F.coalesce(by, F.lit("unknown")))
+    known = stage(weights.select(F.col(by).alias("_group"), F.col("weight").alias("sampling_weight")), "group_weights")
+    weighted = _with_groups(named.drop("sampling_weight"), known, "_group")
+    return weighted.select(*[c for c in df.columns if c != "sampling_weight"], F.lit(method).alias("sampling_method"), "sampling_weight")

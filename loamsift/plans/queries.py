@@ -345,25 +345,6 @@ def fuzzy_dedup(spark, folder):
     return flagged.select("doc_id", "is_duplicate", "similar_to")
 
 
-@query
-def similarity_verify(spark, folder):
-    """Character matching ratio of the near duplicates found by 3-gram sets."""
-    docs = stage(_exact(spark, folder).select("doc_id", "text"), "exact_survivors")
-    pairs = stage(
-        fuzzy.fuzzy_matches(docs).select(F.col("kept_id").alias("first"), F.col("doc_id").alias("second")), "pairs"
-    )
-    return fuzzy.with_ratio(pairs, docs).select(
-        F.col("second").alias("doc_id"), F.col("first").alias("kept_id"), r6("similarity").alias("ratio")
-    )
-
-
-@query
-def fuzzy_dedup_ratio(spark, folder):
-    docs = stage(_exact(spark, folder).select("doc_id", "text", "hash_id"), "exact_survivors")
-    matches = fuzzy.fuzzy_matches(docs, DedupConfig(similarity="ratio"))
-    return matches.select("doc_id", "kept_id", r6("similarity").alias("ratio"))
-
-
 @query
 def process_dataset(spark, folder):
     return _flat_processed(corpus.process(_raw(spark, folder)))

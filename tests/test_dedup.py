@@ -1,7 +1,6 @@
 """Exact and near duplicates against going through the documents one by one."""
 
 import random
-from difflib import SequenceMatcher
 
 import pytest
 from pyspark.sql import functions as F
@@ -108,13 +107,6 @@ def test_chain_keeps_both_ends(spark):
     assert set(found(spark, texts)) == {1}
 
 
-def test_ratio_mode(spark):
-    texts = corpus(5, n=50)
-    got = found(spark, texts, DedupConfig(similarity="ratio"))
-    want = one_by_one(texts, 0.2, lambda a, b: SequenceMatcher(None, a, b).ratio())
-    assert got == want and want
-
-
 def test_partition_count_does_not_matter(spark):
     texts = corpus(6)
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")

@@ -3,6 +3,7 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,11 +106,29 @@ def test_method_choice(docs_of):
     assert weighted.count() == 5 and weighted.where("sampling_method = 'alpha'").count() == 5
 
 
-def test_too_many_groups_is_an_error(spark, monkeypatch):
-    monkeypatch.setattr(sampling, "MAX_GROUPS", 3)
-    df = spark.range(5).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("domain"))
-    with pytest.raises(ValueError):
-        sampling.unimax_batch(df, 2)
+def test_many_groups(spark):
+    n = sampling.FEW_GROUPS + 1
+    df = spark.range(2 * n).select(F.col("id").alias("doc_id"), (F.col("id") % n).cast("string").alias("domain"))
+    batch = sampling.unimax_batch(df, n + 5).collect()
+    assert len(batch) == n + 5 and [r["domain"] for r in sorted(batch, key=lambda r: r["position"])][:3] == ["0", "1", "2"]
+    assert sampling.alpha_batch(df, 500).count() == 500
+    weighted = sampling.with_sampling_weight(df)
+    assert weighted.count() == 2 * n and weighted.where("sampling_weight > 0").count() == 2 * n
+
+
+def test_many_batches_are_few_stretches():
+    counts = np.array([4_000_000, 2_500_000, 9_000_000])
+    found = sampling._stretches(counts, 6, 10**6, 1)
+    assert found == [(0, 10**6, 6)]
+    short = sampling._stretches(np.array([10, 3, 7]), 5, 50, 1)
+    assert sum(k for _, k, _ in short) <= 50 and len(short) <= 12
+
+
+@pytest.mark.parametrize("method", ["unimax", "alpha", "preference", "attribute"])
+def test_every_method_draws(docs_of, method):
+    docs = docs_of([("a", "high")] * 30 + [("b", "low")] * 20)
+    batch = sampling.draw_batch(docs, 10, SamplingConfig(method=method), preferences={"a": 1.0})
+    assert batch.count() == 10
 
 
 def test_sequences(texts_of):
