@@ -18,15 +18,16 @@ def with_hash(df: DataFrame, hash_type: str = "md5") -> DataFrame:
     return df.withColumn("hash_id", content_hash(F.col("text"), hash_type))
 
 
-def first_ids(hashed: DataFrame) -> DataFrame:
-    """(hash_id, doc_id of its first document, number of documents)."""
-    return hashed.groupBy("hash_id").agg(
-        F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")
-    )
+def first_ids(hashed: DataFrame, keep: str = "first") -> DataFrame:
+    """(hash_id, doc_id of its first (or last) document, number of documents)."""
+    if keep not in ("first", "last"):
+        raise ValueError(f"keep is 'first' or 'last', not {keep!r}")
+    end = F.min if keep == "first" else F.max
+    return hashed.groupBy("hash_id").agg(end("doc_id").alias("doc_id"), F.count("*").alias("copies"))
 
 
-def exact_dedup(df: DataFrame, hash_type: str = "md5") -> DataFrame:
-    survivors = first_ids(with_hash(df, hash_type).select("doc_id", "hash_id"))
+def exact_dedup(df: DataFrame, hash_type: str = "md5", keep: str = "first") -> DataFrame:
+    survivors = first_ids(with_hash(df, hash_type).select("doc_id", "hash_id"), keep)
     return df.join(survivors.select("doc_id", "hash_id"), "doc_id").withColumn(
         "is_duplicate", F.lit(False)
     )

@@ -14,17 +14,24 @@ PAD, BEGIN, END, SPACE_CODE, OTHER_CODE = 0, 1, 2, 50, 51
 CODE_OFFSET, CODE_RANGE = 100, 31_900
 
 
-def train_eval_split(selected: DataFrame, cfg: SequenceConfig = SequenceConfig()) -> DataFrame:
-    """(doc_id, split): the first ``floor(n * train_share)`` in selection order are for training.
+def with_split(selected: DataFrame, cfg: SequenceConfig = SequenceConfig()) -> DataFrame:
+    """Every row with ``split``: the first ``floor(n * train_share)`` in selection order are for training.
 
-    The selection rank is dense already, so nothing is sorted; without one, order is by id.
+    The selection rank is dense already, so nothing is sorted or joined; without one, order is by id.
     """
-    if "selection_rank" in selected.columns:
-        placed = selected.select("doc_id", F.col("selection_rank").alias("rank"))
-    else:
-        placed = add_rank(selected.select("doc_id"), [F.col("doc_id")])
-    n_train = int(selected.count() * cfg.train_share)
-    return placed.select("doc_id", F.when(F.col("rank") < n_train, "train").otherwise("eval").alias("split"))
+    if "selection_rank" not in selected.columns:
+        ranked = add_rank(selected.select("doc_id"), [F.col("doc_id")])
+        return selected.join(_split(ranked, F.col("rank"), selected.count(), cfg).drop("rank"), "doc_id")
+    return _split(selected, F.col("selection_rank"), selected.count(), cfg)
+
+
+def _split(rows: DataFrame, rank: Column, n: int, cfg: SequenceConfig) -> DataFrame:
+    return rows.withColumn("split", F.when(rank < int(n * cfg.train_share), "train").otherwise("eval"))
+
+
+def train_eval_split(selected: DataFrame, cfg: SequenceConfig = SequenceConfig()) -> DataFrame:
+    """(doc_id, split)."""
+    return with_split(selected, cfg).select("doc_id", "split")
 
 
 def encode(text: Column) -> Column:
@@ -65,11 +72,17 @@ def padded(df: DataFrame, cfg: SequenceConfig = SequenceConfig()) -> DataFrame:
     return encode_documents(df).select("doc_id", fit_length(F.col("tokens"), cfg.max_length).alias("tokens"))
 
 
-def training_sequences(df: DataFrame, cfg: SequenceConfig = SequenceConfig()) -> DataFrame:
-    """(doc_id, input_ids, labels, attention_mask, n_tokens): labels are the inputs moved by one."""
+def training_sequences(
+    df: DataFrame, cfg: SequenceConfig = SequenceConfig(), keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """(doc_id, input_ids, labels, attention_mask, n_tokens) and ``keep``: labels are the inputs moved by one.
+
+    Only the characters that fit are encoded; a text that is cut loses its end mark.
+    """
     n = cfg.max_length - 1
-    coded = df.select("doc_id", encode(F.col("text")).alias("_coded")).select(
-        "doc_id", F.size("_coded").alias("n_tokens"), fit_length(F.col("_coded"), cfg.max_length).alias("_tokens")
+    cut = F.substring(F.lower("text"), 1, n)
+    coded = df.select("doc_id", *keep, token_count(F.col("text")).alias("n_tokens"), encode(cut).alias("_coded")).select(
+        "doc_id", *keep, "n_tokens", fit_length(F.col("_coded"), cfg.max_length).alias("_tokens")
     )
     return coded.select(
         "doc_id",
@@ -77,6 +90,7 @@ def training_sequences(df: DataFrame, cfg: SequenceConfig = SequenceConfig()) ->
         F.slice("_tokens", 2, n).alias("labels"),
         F.array_repeat(F.lit(True), n).alias("attention_mask"),
         "n_tokens",
+        *keep,
     )
 
 

@@ -184,3 +184,17 @@ def annotate(df: DataFrame, cfg: QualityConfig = QualityConfig()) -> DataFrame:
             ),
         ).alias("metadata"),
     )
+
+
+def quality_drop(processed: DataFrame, classes: tuple[str, ...] = ("low",)) -> DataFrame:
+    """Without the documents that fail a check or are in one of ``classes``."""
+    low = F.coalesce(F.col("quality_class").isin(*classes), F.lit(True))
+    return processed.where(F.col("metadata.filter_results.passes") & ~low)
+
+
+def toxicity_filter(processed: DataFrame, limit: float, keep: str = "below") -> DataFrame:
+    """Documents with a score below ``limit``, or for a detector's corpus those at or above it."""
+    if keep not in ("below", "above"):
+        raise ValueError(f"keep is 'below' or 'above', not {keep!r}")
+    score = F.coalesce("toxicity_score", F.lit(0.0))
+    return processed.where(score < limit if keep == "below" else score >= limit)

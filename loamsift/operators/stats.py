@@ -31,7 +31,7 @@ def average_scores(processed: DataFrame) -> DataFrame:
 
 def raw_stats(raw: DataFrame) -> DataFrame:
     """One row: total_documents and the count of each domain as a map."""
-    per_domain = count_by(raw, "domain")
+    per_domain = count_by(raw.withColumn("domain", F.coalesce("domain", F.lit("unknown"))), "domain")
     return per_domain.agg(
         F.coalesce(F.sum("count"), F.lit(0)).alias("total_documents"),
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("domain", "count")))).alias("domain_counts"),
@@ -40,7 +40,7 @@ def raw_stats(raw: DataFrame) -> DataFrame:
 
 def processing_stats(processed: DataFrame) -> DataFrame:
     """One row: total, counts by class and domain, and mean scores, in one pass over the rows."""
-    cells = processed.groupBy("domain", "quality_class").agg(
+    cells = processed.groupBy(F.coalesce("domain", F.lit("unknown")).alias("domain"), "quality_class").agg(
         F.count("*").alias("n"), F.sum("quality_score").alias("q"), F.sum("toxicity_score").alias("t")
     )
     domains = cells.groupBy("domain").agg(F.sum("n").alias("n"))

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from loamsift.config import SOURCE_CATALOG
 from loamsift.functions.stopwords import ENGLISH
-from loamsift.plans.queries import DRAW_SIZE, EPOCH, MAX_LENGTH, PREFERENCES, UNIMAX_BATCHES, UNIMAX_SIZE
+from loamsift.plans.queries import DRAW_SIZE, EPOCH, MAX_LENGTH, PREFERENCES, TOXIC_LIMIT, UNIMAX_BATCHES, UNIMAX_SIZE
 
 # Character classes in the syntax of DuckDB's regex engine.
 _WS = (
@@ -362,6 +362,8 @@ _CODES = f"""list_concat([1], list_concat(list_transform(regexp_extract_all(lowe
 _PADDED = f"""list_concat(t[1:{MAX_LENGTH}], list_transform(range(greatest({MAX_LENGTH} - len(t), 0)), lambda i: 0))"""
 _CODED = f"(SELECT doc_id, {_CODES} AS t FROM docs)"
 
+_DOMAINS = ", ".join(f"('{s.domain}')" for s in SOURCE_CATALOG)
+_ORDER_OF_DOMAINS = f"list_position([{', '.join(repr(s.domain) for s in SOURCE_CATALOG)}], domain)"
 _SOURCE_COUNTS = "(SELECT domain, count(*) AS a FROM docs GROUP BY 1)"
 
 ORACLE: dict[str, str] = {
@@ -373,8 +375,24 @@ FROM catalog c LEFT JOIN {_SOURCE_COUNTS} n ON n.domain = c.domain"""),
     "sample_source": _sql("sam", "SELECT doc_id, domain, length(text)::INTEGER AS n_chars FROM sam"),
     "ingest_length_filter": _sql("st", "SELECT doc_id, domain FROM st WHERE nw BETWEEN 10 AND 10000"),
     "raw_documents": _RAW,
-    "ingest_sources": _sql("samst", f"""SELECT {_RAW_COLUMNS.format(quality=_ingest_quality('domain'), language='lang')}
-FROM samst WHERE nw BETWEEN 10 AND 10000"""),
+    "ingest_sources": _sql("samst", f"""SELECT row_number() OVER (ORDER BY i, doc_id) - 1 AS doc_id, * EXCLUDE (doc_id, i) FROM (
+  SELECT {_RAW_COLUMNS.format(quality=_ingest_quality('samst.domain'), language='lang')}, c.i
+  FROM samst JOIN (SELECT domain AS d, row_number() OVER (ORDER BY {_ORDER_OF_DOMAINS}) AS i FROM (VALUES {_DOMAINS}) v(domain)) c ON c.d = samst.domain
+  WHERE nw BETWEEN 10 AND 10000)"""),
+    "ingest_overlapping": f"""WITH rows AS (
+  SELECT 0 AS s, 'web' AS domain, doc_id AS k, text FROM documents
+  UNION ALL SELECT 1, 'conversations', row_number() OVER (), text FROM conversations
+  UNION ALL SELECT 2, 'benchmark', item_id, text FROM benchmark
+  UNION ALL SELECT 3, 'pages', page_id, html FROM pages
+), numbered AS (
+  SELECT row_number() OVER (ORDER BY s, k) - 1 AS doc_id, domain, md5(text) AS hash_id FROM rows
+  WHERE len({_words('text')}) BETWEEN 10 AND 10000
+)
+SELECT min(doc_id) AS doc_id, arg_min(domain, doc_id) AS domain, hash_id FROM numbered GROUP BY hash_id""",
+    "domain_mix_gap": _sql("docs catalog", f"""SELECT coalesce(c.domain, n.domain) AS domain, coalesce(weight, 0) AS weight,
+  round(coalesce(a, 0) / (SELECT count(*) FROM docs), 6) AS share,
+  round(coalesce(a, 0) / (SELECT count(*) FROM docs) - coalesce(weight, 0), 6) AS gap
+FROM catalog c FULL JOIN {_SOURCE_COUNTS} n ON n.domain = c.domain"""),
     "union_sources": _sql(
         "docs others", f"SELECT domain, {_ingest_quality('domain')} AS quality, count(*) AS count FROM allst GROUP BY 1, 2",
         extra="alls AS (SELECT domain, doc_id, text FROM docs UNION ALL SELECT * FROM others),\n" + _text_stats("alls", "allst"),
@@ -414,12 +432,17 @@ UNION ALL SELECT 'eval', (SELECT (floor(count(*) * 0.95::DOUBLE)
     "quality_score": _sql("ann", "SELECT doc_id, round(quality_score, 6) AS quality_score FROM ann"),
     "toxicity_score": _sql("ann", "SELECT doc_id, round(toxicity_score, 6) AS toxicity_score FROM ann"),
     "annotate_quality": _sql("pr", f"SELECT {_processed_columns('ppl')} FROM pr"),
+    "quality_drop": _sql("pr", "SELECT doc_id, domain, quality_class FROM pr WHERE passes AND quality_class <> 'low'"),
+    "toxicity_filter": _sql("pr", f"""SELECT doc_id, CASE WHEN toxicity_score < {TOXIC_LIMIT}::DOUBLE THEN 'below' ELSE 'above' END AS side
+FROM pr"""),
     "ngram_signature": _sql("docs", f"""SELECT doc_id, len(g)::INTEGER AS n_grams, md5(array_to_string(list_sort(g), '|')) AS grams_md5 FROM (
   SELECT doc_id, list_distinct(list_transform(range(1, greatest(len(t) - 1, 1)),
     lambda i: t[i] || ' ' || t[i + 1] || ' ' || t[i + 2])) AS g
   FROM (SELECT doc_id, {_words('lower(text)')} AS t FROM docs))"""),
     "content_hashes": "SELECT doc_id, md5(text) AS md5, sha256(text) AS sha256 FROM documents",
     "exact_dedup": _sql("ex", "SELECT doc_id, domain, md5(text) AS hash_id, false AS is_duplicate FROM ex"),
+    "exact_dedup_last": _sql("docs", """SELECT max(doc_id) AS doc_id, arg_max(domain, doc_id) AS domain, md5(text) AS text_md5
+FROM docs GROUP BY md5(text)"""),
     "exact_dup_flags": _sql("firsts", """SELECT doc_id, h AS hash_id, doc_id > f AS is_duplicate
 FROM docs JOIN firsts ON h = md5(text)"""),
     "exact_dup_audit": _sql("firsts", """SELECT doc_id, h AS hash_id, f AS first_doc_id
@@ -475,6 +498,9 @@ FROM (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY score DESC, doc_
     "hybrid_select": _SELECTED,
     "unimax_weights": _sql("grp", "SELECT domain, round(1 / count(*) OVER (), 6) AS weight FROM grp"),
     "alpha_weights": _sql("grp", f"SELECT domain, round({_ALPHA_P}, 6) AS weight FROM grp"),
+    "alpha_weights_by_lang": """WITH shares AS (
+  SELECT lang AS language, count(*) / (SELECT count(*) FROM documents) AS p FROM documents GROUP BY 1)
+SELECT language, round(pow(p, 1.3::DOUBLE) / sum(pow(p, 1.3::DOUBLE)) OVER (), 6) AS weight FROM shares""",
     "preference_weights": _sql("grp", f"SELECT domain, round({_PREF_W}, 6) AS weight FROM grp"),
     "attribute_bucket_weights": _sql("bgrp", "SELECT bucket, round(w, 6) AS weight FROM bgrp"),
     "unimax_batch": _UNIMAX,

@@ -6,11 +6,12 @@ Results are narrow and rounded so that they can be compared with ``oracle``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from loamsift import schemas
-from loamsift.config import SOURCE_CATALOG, DedupConfig, SamplingConfig, SelectionConfig, SequenceConfig
+from loamsift.config import SOURCE_CATALOG, CorpusConfig, DedupConfig, SamplingConfig, SelectionConfig, SequenceConfig
 from loamsift.functions.text import content_hash
 from loamsift.functions.stopwords import ENGLISH
 from loamsift.operators import exact, fuzzy, prep, quality, sampling, selection, stats, tfidf
@@ -29,6 +30,7 @@ UNIMAX_SIZE = 256
 UNIMAX_BATCHES = (64, 12)
 DRAW_SIZE = 2000
 EPOCH = 1
+TOXIC_LIMIT = 0.1
 MAX_LENGTH = 2048
 
 
@@ -77,7 +79,8 @@ def scan_source(spark, folder):
 
 
 def _per_domain(spark, folder, take) -> DataFrame:
-    docs = _texts(spark, folder)
+    """``take`` of each domain, out of one written scan of the table."""
+    docs = stage(_texts(spark, folder).select("doc_id", "text", "domain"), "scanned")
     return src.union_all([take(docs.where(F.col("domain") == spec.domain), spec) for spec in SOURCE_CATALOG])
 
 
@@ -120,6 +123,24 @@ def ingest_sources(spark, folder):
     return _flat_raw(corpus.ingest(scanned))
 
 
+@query
+def ingest_overlapping(spark, folder):
+    """Sources whose ids overlap, and one without ids, numbered anew, then processed."""
+    scanned, specs = {"web": _texts(spark, folder).withColumn("domain", F.lit("web"))}, [SOURCE_CATALOG[0]]
+    for spec, id_column in tables.TABLE_SOURCES:
+        rows = tables.table(spark, folder, spec.dataset)
+        scanned[spec.domain] = src.scan(rows, spec, None if spec.dataset == "conversations" else id_column)
+        specs.append(spec)
+    cfg = CorpusConfig(sources=tuple(replace(spec, max_documents=1_000_000_000) for spec in specs), dedup=DedupConfig(fuzzy=False))
+    return corpus.process(corpus.ingest(scanned, cfg), cfg).select("doc_id", "domain", "hash_id")
+
+
+@query
+def domain_mix_gap(spark, folder):
+    gap = src.domain_mix_gap(_texts(spark, folder), SOURCE_CATALOG)
+    return gap.select("domain", "weight", r6("share").alias("share"), r6("gap").alias("gap"))
+
+
 @query
 def union_sources(spark, folder):
     frames = [_texts(spark, folder), *tables.other_sources(spark, folder)]
@@ -272,6 +293,19 @@ def annotate_quality(spark, folder):
     return _flat_processed(quality.annotate(_exact(spark, folder)))
 
 
+@query
+def quality_drop(spark, folder):
+    return quality.quality_drop(quality.annotate(_exact(spark, folder))).select("doc_id", "domain", "quality_class")
+
+
+@query
+def toxicity_filter(spark, folder):
+    scored = quality.annotate(_exact(spark, folder)).select("doc_id", "toxicity_score")
+    clean = quality.toxicity_filter(scored, TOXIC_LIMIT).withColumn("side", F.lit("below"))
+    toxic = quality.toxicity_filter(scored, TOXIC_LIMIT, keep="above").withColumn("side", F.lit("above"))
+    return clean.unionByName(toxic).select("doc_id", "side")
+
+
 @query
 def ngram_signature(spark, folder):
     signed = fuzzy.with_tokens(_texts(spark, folder)).select(
@@ -299,6 +333,12 @@ def exact_dedup(spark, folder):
     return exact.exact_dedup(_texts(spark, folder)).select("doc_id", "domain", "hash_id", "is_duplicate")
 
 
+@query
+def exact_dedup_last(spark, folder):
+    """The last copy stays instead of the first."""
+    return exact.exact_dedup(_texts(spark, folder), "xxhash", keep="last").select("doc_id", "domain", F.md5("text").alias("text_md5"))
+
+
 @query
 def exact_dup_flags(spark, folder):
     return exact.exact_dup_flags(_texts(spark, folder)).select("doc_id", "hash_id", "is_duplicate")
@@ -550,6 +590,12 @@ def alpha_weights(spark, folder):
     return _weights(sampling.alpha_weights(sampling.group_statistics(_texts(spark, folder)), 1.3))
 
 
+@query
+def alpha_weights_by_lang(spark, folder):
+    stats_ = sampling.group_statistics(_texts(spark, folder), "language")
+    return _weights(sampling.alpha_weights(stats_, 1.3, "language"), "language")
+
+
 @query
 def preference_weights(spark, folder):
     return _weights(sampling.preference_weights(sampling.group_statistics(_texts(spark, folder)), PREFERENCES))

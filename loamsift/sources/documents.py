@@ -11,18 +11,23 @@ from loamsift.functions.seeded import uniform
 from loamsift.functions import text as tx
 from loamsift.operators import quality
 from loamsift.operators.ranking import add_rank
+from loamsift.operators.staging import stage
 
 MAX_SINGLE_MERGE = 100_000
 
 
-def scan(df: DataFrame, spec: SourceSpec, id_column: str = "doc_id") -> DataFrame:
-    """Project a source to (doc_id, text, domain, source, language, title)."""
+def scan(df: DataFrame, spec: SourceSpec, id_column: str | None = "doc_id") -> DataFrame:
+    """Project a source to (doc_id, text, domain, source, language, title).
+
+    Without an id column ``doc_id`` is null until ``keyed`` numbers the rows.
+    """
+    own_id = F.col(id_column) if id_column in df.columns else F.lit(None)
 
     def optional(name: str) -> Column:
         return F.col(name) if name in df.columns else F.lit(None).cast("string")
 
     return df.select(
-        F.col(id_column).cast("bigint").alias("doc_id"),
+        own_id.cast("bigint").alias("doc_id"),
         F.col(spec.text_column).alias("text"),
         F.lit(spec.domain).alias("domain"),
         F.coalesce(optional("source"), F.lit(spec.dataset)).alias("source"),
@@ -40,6 +45,39 @@ def read_source(spark: SparkSession, spec: SourceSpec, id_column: str = "doc_id"
     return scan(reader.load(spec.path), spec, id_column)
 
 
+def keyed(df: DataFrame) -> DataFrame:
+    """``df`` with an id in every row: its own, or without any the position in its files."""
+    known = df.agg(F.count("doc_id").alias("ids"), F.count("*").alias("rows")).first()
+    if known["ids"] == known["rows"]:
+        return df
+    if known["ids"]:
+        raise ValueError("some rows of a source have an id and some have none")
+    return stage(df.withColumn("doc_id", F.monotonically_increasing_id()), "positions")
+
+
+def check_ids(df: DataFrame) -> DataFrame:
+    """``df`` itself, if every row has an id and no two have the same."""
+    bad = df.groupBy("doc_id").agg(F.count("*").alias("n")).where("doc_id IS NULL OR n > 1").head(1)
+    if bad:
+        raise ValueError(f"doc_id {bad[0]['doc_id']} stands in {bad[0]['n']} rows: ids must be unique and not null")
+    return df
+
+
+def union_with_ids(frames: list[DataFrame]) -> DataFrame:
+    """All rows with a new, unique ``doc_id``: source by source, in each in the order of its own ids.
+
+    Older documents thus have smaller ids. The id within the source is kept as ``source_key``.
+    """
+    parts = [df.withColumn("_source", F.lit(number)) for number, df in enumerate(frames)]
+    rows = stage(union_all(parts).withColumnRenamed("doc_id", "source_key"), "sources")
+    twice = rows.groupBy("_source", "source_key").agg(F.count("*").alias("n")).where("source_key IS NULL OR n > 1").head(1)
+    if twice:
+        raise ValueError(f"source {twice[0]['_source']} has {twice[0]['n']} rows with the id {twice[0]['source_key']}")
+    ids = add_rank(rows.select("_source", "source_key"), [F.col("_source"), F.col("source_key")], "doc_id")
+    joined = rows.join(ids, ["_source", "source_key"])
+    return joined.select("doc_id", *[name for name in frames[0].columns if name != "doc_id"], "source_key")
+
+
 def _first(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     """The first ``n`` rows by ``order``: only ids are sorted, the text follows by semi-join."""
     ids = df.select("doc_id")
@@ -101,10 +139,22 @@ def source_report(df: DataFrame, specs: tuple[SourceSpec, ...], cfg: IngestConfi
         "domain string, dataset string, subset string, split string, text_column string,"
         " weight double, max_documents int",
     )
-    available = df.groupBy("domain").agg(F.count("*").alias("available"))
+    available = df.groupBy(F.coalesce("domain", F.lit("unknown")).alias("domain")).agg(F.count("*").alias("available"))
     rows = F.coalesce(F.col("available"), F.lit(0))
-    return declared.join(available, "domain", "left").select(
+    # Domains that nobody declared are reported too.
+    return declared.join(available, "domain", "full").select(
         *declared.columns,
         rows.alias("available"),
-        F.least(rows, F.lit(cfg.prefix_factor) * F.col("max_documents")).alias("prefix_rows"),
+        F.least(rows, F.lit(cfg.prefix_factor) * F.coalesce("max_documents", F.lit(0))).alias("prefix_rows"),
     )
+
+
+def domain_mix_gap(df: DataFrame, specs: tuple[SourceSpec, ...]) -> DataFrame:
+    """(domain, weight, share, gap): what each domain was declared to weigh, and its share of the rows."""
+    declared = df.sparkSession.createDataFrame([(s.domain, s.weight) for s in specs], "domain string, weight double")
+    counts = stage(df.groupBy(F.coalesce("domain", F.lit("unknown")).alias("domain")).agg(F.count("*").alias("_n")), "domain_counts")
+    total = counts.agg(F.sum("_n")).first()[0] or 1
+    share = F.coalesce(F.col("_n"), F.lit(0)) / F.lit(total)
+    return counts.join(declared, "domain", "full").select(
+        "domain", F.coalesce("weight", F.lit(0.0)).alias("weight"), share.alias("share")
+    ).withColumn("gap", F.col("share") - F.col("weight"))

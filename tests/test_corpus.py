@@ -103,3 +103,44 @@ def test_plan_has_no_single_task_window_or_product(spark):
     raw = tables.raw_documents(spark, SMALL)
     plan = exact.exact_dedup(raw)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan and "CartesianProduct" not in plan
+
+
+def test_overlapping_and_missing_ids(spark, raw_of):
+    from loamsift.config import CorpusConfig, DedupConfig
+
+    specs = [SourceSpec(name, "made", None, "train", "text", 0.5, 100) for name in ("web", "books", "news")]
+    words = lambda name, i: " ".join(f"{name}{i}word{k}" for k in range(12))
+    frames = {}
+    for spec in specs:
+        rows = [(i if spec.domain != "news" else None, words(spec.domain, i)) for i in range(5)]
+        df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+        frames[spec.domain] = documents.scan(df, spec, "doc_id" if spec.domain != "news" else None)
+    cfg = CorpusConfig(sources=tuple(specs), dedup=DedupConfig(fuzzy=False))
+    raw = corpus.ingest(frames, cfg)
+    assert [(r["doc_id"], r["domain"]) for r in raw.orderBy("doc_id").collect()] == [
+        (i, name) for i, name in enumerate(["web"] * 5 + ["books"] * 5 + ["news"] * 5)
+    ]
+    rows = corpus.process(raw, cfg).collect()
+    assert len(rows) == 15 and len({r["hash_id"] for r in rows}) == 15
+    with pytest.raises(ValueError):
+        corpus.process(raw_of([("a b", "web")]).unionByName(raw_of([("c d", "web")])), cfg)
+    with pytest.raises(ValueError):
+        documents.keyed(frames["web"].unionByName(frames["news"]))
+
+
+def test_dedup_switches_and_null_domains(raw_of):
+    from loamsift.config import CorpusConfig, DedupConfig
+    from loamsift.operators import stats
+
+    text = " ".join(f"w{i}" for i in range(60))
+    near = text + " more"
+    raw = raw_of([(text, None), (text, "web"), (near, "web")])
+
+    def kept(**switches):
+        return sorted(r["doc_id"] for r in corpus.process(raw, CorpusConfig(dedup=DedupConfig(**switches))).collect())
+
+    assert kept() == [0] and kept(fuzzy=False) == [0, 2] and kept(exact=False, fuzzy=False) == [0, 1, 2]
+    assert kept(exact=False) == [0] and kept(keep="last") == [2] and kept(hash_type="xxhash") == [0]
+    assert stats.raw_stats(raw).first()["domain_counts"] == {"unknown": 1, "web": 2}
+    processed = corpus.process(raw, CorpusConfig(dedup=DedupConfig(exact=False, fuzzy=False)))
+    assert stats.processing_stats(processed).first()["domain_distribution"] == {"unknown": 1, "web": 2}

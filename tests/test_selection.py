@@ -14,10 +14,10 @@ from loamsift.operators.ranking import add_rank, top_fraction
 from loamsift.schemas import PROCESSED
 
 DEMO = [
-    ("High-quality document with excellent content and proper structure.", "high", "web"),
-    ("Medium quality document with decent content.", "medium", "web"),
-    ("Low quality bad grammar txt.", "low", "web"),
-    ("Another high-quality document with comprehensive information.", "high", "books"),
+    ("Careful harbour report with steady measurements and clear tables.", "high", "web"),
+    ("Short harbour report with steady notes.", "medium", "web"),
+    ("harbour closed no notes.", "low", "web"),
+    ("Second harbour report with careful measurements.", "high", "books"),
 ]
 
 
