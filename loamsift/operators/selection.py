@@ -18,15 +18,21 @@ from loamsift.operators.staging import stage
 _TINY = 1e-10
 
 
-def target_docs(processed: DataFrame, cfg: SelectionConfig = SelectionConfig()) -> DataFrame:
-    """(doc_id, text) of the target class, and of the medium class too if those are too few."""
-    of_class = processed.where(F.col("quality_class") == cfg.target_class).select("doc_id", "text")
-    if of_class.limit(cfg.full_target_docs).count() >= cfg.full_target_docs:
+def target_flag(processed: DataFrame, cfg: SelectionConfig = SelectionConfig()) -> Column:
+    """Whether a row is of the target class, or of the medium class too if those are too few."""
+    of_class = F.coalesce(F.col("quality_class") == cfg.target_class, F.lit(False))
+    if processed.where(of_class).limit(cfg.full_target_docs).count() >= cfg.full_target_docs:
         return of_class
-    medium = processed.where(F.col("quality_class") == "medium").select("doc_id", "text")
-    if cfg.target_class == "medium":  # listed twice: a copy is a document of its own
-        medium = medium.withColumn("doc_id", -F.col("doc_id") - 1)
-    return of_class.unionByName(medium)
+    return of_class | F.coalesce(F.col("quality_class") == "medium", F.lit(False))
+
+
+def target_docs(processed: DataFrame, cfg: SelectionConfig = SelectionConfig()) -> DataFrame:
+    """(doc_id, text) of the target set."""
+    targets = processed.where(target_flag(processed, cfg)).select("doc_id", "text")
+    if cfg.target_class == "medium" and targets.limit(cfg.full_target_docs).count() < cfg.full_target_docs:
+        # Listed twice: a copy is a document of its own.
+        return targets.unionByName(targets.withColumn("doc_id", -F.col("doc_id") - 1))
+    return targets
 
 
 def enough_targets(target: DataFrame, cfg: SelectionConfig = SelectionConfig()) -> bool:
@@ -48,16 +54,18 @@ def fit_importance(target: DataFrame, cfg: SelectionConfig = SelectionConfig())
     return Importance(vocabulary, stage(tfidf.distribution(vecs, n_docs), "target_distribution"), cfg)
 
 
-def fit_within(docs: DataFrame, target: DataFrame, cfg: SelectionConfig = SelectionConfig()) -> tuple[Importance, DataFrame]:
+def fit_within(docs: DataFrame, is_target: Column, cfg: SelectionConfig = SelectionConfig()) -> tuple[Importance, DataFrame]:
     """``fit_importance`` for a target that is part of ``docs``, and the vectors of all ``docs``.
 
-    The terms of every document are then worked out once and not once more for the target.
+    The texts are read and taken apart once; vocabulary and vectors come from the written term counts.
     """
-    vocabulary, n_docs = tfidf.fit_vocabulary(target, cfg)
-    vecs = stage(tfidf.vectors(docs, vocabulary, cfg), "doc_terms")
-    of_target = vecs.join(target.select("doc_id"), "doc_id", "left_semi")
-    fitted = Importance(vocabulary, stage(tfidf.distribution(of_target, n_docs), "target_distribution"), cfg)
-    return fitted, vecs
+    flagged = docs.select("doc_id", "text", is_target.alias("_target"))
+    per_doc = stage(tfidf.term_counts(flagged, keep=("_target",)), "term_counts_by_doc")
+    n_docs = docs.where(is_target).count()
+    vocabulary = tfidf.vocabulary_of(per_doc.where("_target"), n_docs, cfg)
+    vecs = stage(tfidf.vectors_of(per_doc, vocabulary, cfg, keep=("_target",)), "doc_terms")
+    target = stage(tfidf.distribution(vecs.where("_target"), n_docs), "target_distribution")
+    return Importance(vocabulary, target, cfg), vecs.drop("_target")
 
 
 def importance_scores(docs: DataFrame, fitted: Importance, vecs: DataFrame | None = None) -> DataFrame:
@@ -148,7 +156,7 @@ def hybrid_select(processed: DataFrame, cfg: SelectionConfig = SelectionConfig()
     if cfg.target_class == "medium":  # may list documents twice, so it is not a part of them
         scores = hybrid_scores(processed, fit_importance(target, cfg))
     else:
-        scores = hybrid_scores(processed, *fit_within(processed, target, cfg))
+        scores = hybrid_scores(processed, *fit_within(processed, target_flag(processed, cfg), cfg))
     ranked = top_fraction(stage(scores, "hybrid_scores"), "selection_score", cfg.rate)
     return _with_rows(to_selection_input(processed), ranked, "hybrid")
 
@@ -159,9 +167,7 @@ def dsir_select_per_source(
     """``dsir_select`` of every source on its own: each has its own distribution and share."""
     cfg = fitted.cfg
     rate = cfg.rate if rate is None else rate
-    vecs = stage(
-        tfidf.vectors(docs, fitted.vocabulary, cfg).join(docs.select("doc_id", by), "doc_id"), "doc_terms"
-    )
+    vecs = stage(tfidf.vectors(docs, fitted.vocabulary, cfg, keep=(by,)), "doc_terms")
     sizes = docs.groupBy(by).agg(F.count("*").alias("_docs"))
     means = vecs.groupBy(by, "term").agg(F.sum("tfidf").alias("_sum")).join(sizes, by)
     means = means.select(by, "term", (F.col("_sum") / F.col("_docs")).alias("_mean"))
@@ -177,7 +183,9 @@ def dsir_select_per_source(
         ),
         "importance",
     )
-    summed = vecs.join(weights, [by, "term"]).groupBy("doc_id").agg(
+    # A row per source and vocabulary term: few enough to be broadcast, unless there are very many sources.
+    few = F.broadcast(weights) if weights.count() <= tfidf.BROADCAST_MAX_TERMS else weights
+    summed = vecs.join(few, [by, "term"]).groupBy("doc_id").agg(
         F.sum(F.col("tfidf") * F.col("weight")).alias("_sum")
     )
     scores = stage(

@@ -14,26 +14,31 @@ TERM_PATTERN = r"[\p{L}\p{N}_]{2,}"
 BROADCAST_MAX_TERMS = 200_000
 
 
-def with_terms(df: DataFrame, stop_words: tuple[str, ...] = ENGLISH) -> DataFrame:
-    """(doc_id, terms): words without stop words, then the pairs of neighbours left."""
-    found = df.select("doc_id", F.regexp_extract_all(F.lower("text"), F.lit(TERM_PATTERN), 0).alias("_found"))
-    kept = found.select("doc_id", F.filter("_found", lambda w: ~w.isin(*stop_words)).alias("_kept"))
-    return kept.select("doc_id", F.concat("_kept", word_ngrams(F.col("_kept"), 2)).alias("terms"))
+def with_terms(df: DataFrame, stop_words: tuple[str, ...] = ENGLISH, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, keep, terms): words without stop words, then the pairs of neighbours left."""
+    found = df.select("doc_id", *keep, F.regexp_extract_all(F.lower("text"), F.lit(TERM_PATTERN), 0).alias("_found"))
+    kept = found.select("doc_id", *keep, F.filter("_found", lambda w: ~w.isin(*stop_words)).alias("_kept"))
+    return kept.select("doc_id", *keep, F.concat("_kept", word_ngrams(F.col("_kept"), 2)).alias("terms"))
 
 
-def _term_rows(df: DataFrame, stop_words: tuple[str, ...]) -> DataFrame:
+def _term_rows(df: DataFrame, stop_words: tuple[str, ...], keep: tuple[str, ...] = ()) -> DataFrame:
     # Partitioned by document before the terms are spread out: counting per document
     # and per document and term then needs no further exchange.
-    by_doc = df.select("doc_id", "text").repartition("doc_id")
+    by_doc = df.select("doc_id", *keep, "text").repartition("doc_id")
     # The outer form keeps Catalyst from adding a "not empty" filter under the exchange, which
     # would work out all terms a second time. The row it leaves for an empty document goes here.
     return (
-        with_terms(by_doc, stop_words)
-        .select("doc_id", F.explode_outer("terms").alias("term"))
+        with_terms(by_doc, stop_words, keep)
+        .select("doc_id", *keep, F.explode_outer("terms").alias("term"))
         .where(F.col("term").isNotNull())
     )
 
 
+def term_counts(df: DataFrame, stop_words: tuple[str, ...] = ENGLISH, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, keep, term, tf) of all terms of all documents; stage it to read it more than once."""
+    return _term_rows(df, stop_words, keep).groupBy("doc_id", *keep, "term").agg(F.count("*").alias("tf"))
+
+
 def _largest(counts: DataFrame, n: int) -> DataFrame:
     """The ``n`` terms with the largest (total, then first in order).
 
@@ -54,14 +59,18 @@ def fit_vocabulary(
 ) -> tuple[DataFrame, int]:
     """((term, df, total, idf) of at most ``max_features`` terms, number of target documents)."""
     n_docs = target.count()
-    per_doc = _term_rows(target, stop_words).groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
+    return vocabulary_of(term_counts(target, stop_words), n_docs, cfg), n_docs
+
+
+def vocabulary_of(per_doc: DataFrame, n_docs: int, cfg: SelectionConfig = SelectionConfig()) -> DataFrame:
+    """``fit_vocabulary`` from the term counts of ``n_docs`` target documents."""
     counts = stage(
         per_doc.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("total"))
         .where((F.col("df") >= cfg.min_df) & (F.col("df") <= F.lit(cfg.max_df * n_docs))),
         "term_counts",
     )
     idf = F.log((1.0 + n_docs) / (1.0 + F.col("df"))) + 1.0
-    return stage(_largest(counts, cfg.max_features).withColumn("idf", idf), "vocabulary"), n_docs
+    return stage(_largest(counts, cfg.max_features).withColumn("idf", idf), "vocabulary")
 
 
 def _small(terms: DataFrame, cfg: SelectionConfig) -> DataFrame:
@@ -74,13 +83,24 @@ def vectors(
     vocabulary: DataFrame,
     cfg: SelectionConfig = SelectionConfig(),
     stop_words: tuple[str, ...] = ENGLISH,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(doc_id, term, tf, tfidf), each document of length 1 over the terms it has."""
-    rows = _term_rows(df, stop_words).join(_small(vocabulary.select("term", "idf"), cfg), "term")
-    counted = rows.groupBy("doc_id", "term", "idf").agg(F.count("*").alias("tf"))
+    """(doc_id, keep, term, tf, tfidf), each document of length 1 over the terms it has."""
+    rows = _term_rows(df, stop_words, keep).join(_small(vocabulary.select("term", "idf"), cfg), "term")
+    return _unit_length(rows.groupBy("doc_id", *keep, "term", "idf").agg(F.count("*").alias("tf")), keep)
+
+
+def vectors_of(
+    per_doc: DataFrame, vocabulary: DataFrame, cfg: SelectionConfig = SelectionConfig(), keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """``vectors`` from written term counts."""
+    return _unit_length(per_doc.join(_small(vocabulary.select("term", "idf"), cfg), "term"), keep)
+
+
+def _unit_length(counted: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     weight = F.col("tf") * F.col("idf")
     norm = F.sqrt(F.sum(weight * weight).over(Window.partitionBy("doc_id")))
-    return counted.select("doc_id", "term", "tf", (weight / norm).alias("tfidf"))
+    return counted.select("doc_id", *keep, "term", "tf", (weight / norm).alias("tfidf"))
 
 
 def distribution(vecs: DataFrame, n_docs: int, smoothing: float = 0.0) -> DataFrame:

@@ -57,7 +57,8 @@ def _processed(spark: SparkSession, folder: str) -> DataFrame:
 
 def _quality_rows(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, domain, quality) for the samplers, which need no text."""
-    return _processed(spark, folder).select("doc_id", "domain", F.col("quality_class").alias("quality"))
+    scored = quality.annotate(_exact(spark, folder))
+    return stage(scored.select("doc_id", "domain", F.col("quality_class").alias("quality")), "quality_rows")
 
 
 def _texts(spark: SparkSession, folder: str) -> DataFrame:
@@ -519,7 +520,7 @@ def importance_weights(spark, folder):
 
 def _fitted_within(spark, folder) -> tuple[DataFrame, selection.Importance, DataFrame]:
     processed = _processed(spark, folder)
-    return processed, *selection.fit_within(processed, selection.target_docs(processed))
+    return processed, *selection.fit_within(processed, selection.target_flag(processed))
 
 
 @query
