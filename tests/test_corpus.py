@@ -105,6 +105,16 @@ def test_plan_has_no_single_task_window_or_product(spark):
     assert "SinglePartition" not in plan and "CartesianProduct" not in plan
 
 
+def test_a_run_leaves_no_staged_tables(spark):
+    with staging.staged_run(spark):
+        path = staging.new_path(spark, "x")
+        staging.stage(spark.range(3), "y")
+        spark.range(3).write.parquet(path)
+        folder = os.path.dirname(path)
+        assert len(os.listdir(folder)) == 2
+    assert not os.path.exists(folder) and os.path.dirname(staging.new_path(spark, "z")) == os.path.dirname(folder)
+
+
 def test_overlapping_and_missing_ids(spark, raw_of):
     from loamsift.config import CorpusConfig, DedupConfig
 
