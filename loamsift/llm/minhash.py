@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from loamsift.llm import wordhash
-from loamsift.llm.common import text_of
+from loamsift.llm.common import boxed, small_side, text_of
 from loamsift.llm.components import components
 from loamsift.operators.staging import stage
 
@@ -37,6 +37,8 @@ REGISTERS = 64
 BAND = 3
 BITS = 10
 BLOCK = 2048  # nodes of one bucket that are compared in one go
+FEW = 8  # sets that are intersected one by one
+LARGE = 8_000_000  # shingles of a block beyond which all are
 MARGIN = 4.5  # standard deviations by which an estimate may fall short
 # Fixed value: the share of chance matches between registers with one further bit.
 CHANCE = 0.16991948
@@ -121,6 +123,27 @@ def _linked(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * both >= PERCENT * (len(a) + len(b) - both)
 
 
+def _intersections(sets: list[np.ndarray]):
+    """A function of a set's place and the places of others: the sizes of their intersections.
+
+    The shingles of a block are numbered once, so that a set is marked and all the others count its
+    marks at once. Where a few sets are asked for, or the sets are very large, each pair is intersected.
+    """
+    ends = np.cumsum([len(s) for s in sets])
+    numbers: list[np.ndarray] = []
+
+    def common(place: int, others: np.ndarray) -> np.ndarray:
+        if len(others) < FEW or ends[-1] > LARGE:
+            return np.array([len(np.intersect1d(sets[place], sets[j], assume_unique=True)) for j in others], np.int64)
+        if not numbers:
+            numbers.append(np.unique(np.concatenate(sets), return_inverse=True)[1])
+        marks = np.zeros(int(numbers[0].max()) + 1, np.int32)
+        marks[numbers[0][ends[place] - len(sets[place]) : ends[place]]] = 1
+        return np.add.reduceat(marks[numbers[0]], ends - [len(s) for s in sets])[others]
+
+    return common
+
+
 def _array(column: pa.Array, kind) -> list[np.ndarray]:
     return [np.frombuffer(x.as_buffer(), kind) for x in column]
 
@@ -182,14 +205,17 @@ def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size, own = rows.column("n_shingles").to_numpy(), rows.column("own").to_numpy(zero_copy_only=False)
         registers = np.stack(_array(rows.column("registers").combine_chunks(), np.uint16))
         sets, found = _array(rows.column("shingles").combine_chunks(), np.uint64), []
+        both = _intersections(sets)
         for i in range(len(node) - 1):
             other = np.flatnonzero((component[i + 1 :] != component[i]) & ~(own[i] & own[i + 1 :])) + i + 1
             other = other[100 * np.minimum(size[other], size[i]) >= PERCENT * np.maximum(size[other], size[i])]
             if not len(other):
                 continue
             estimate, deviation = similarity(registers[i][None, :], registers[other], size[i], size[other])
-            for j in other[np.argsort(-estimate)][: np.count_nonzero(estimate + MARGIN * deviation >= PERCENT / 100)].tolist():
-                if component[j] != component[i] and _linked(sets[i], sets[j]):
+            other = other[estimate + MARGIN * deviation >= PERCENT / 100]
+            common = both(i, other)
+            for j in other[100 * common >= PERCENT * (size[i] + size[other] - common)].tolist():
+                if component[j] != component[i]:
                     found.append((int(node[i]), int(node[j])))
                     component[component == component[j]] = component[i]
         return found
@@ -247,11 +273,16 @@ def _blocks(crowded: DataFrame, labels: DataFrame) -> DataFrame:
 
 def linked_components(sketched: DataFrame) -> DataFrame:
     """``node, label`` of all nodes that are linked with another one."""
-    leaders = sketched.where("node IS NOT NULL").groupBy("node").agg(F.min("_row").alias("_row"))
-    nodes = stage(sketched.drop("doc_id", "_text_hash").join(leaders.select("_row"), "_row", "left_semi"), "op3_nodes")
-    bands = stage(nodes.select("node", F.explode("bands").alias("key")), "op3_bands")
-    shared = bands.groupBy("key").agg(F.count("*").alias("_n"), F.min("node").alias("_first")).where("_n > 1").drop("_n")
-    crowded = stage(bands.join(shared, "key"), "op3_crowded")
+    # Copies of a set are one node: a bucket counts if it holds two different ones.
+    bands = sketched.where("node IS NOT NULL").select("node", F.explode("bands").alias("key"))
+    shared = bands.groupBy("key").agg(F.min("node").alias("_first"), F.max("node").alias("_last")).where("_first < _last").drop("_last")
+    shared = stage(shared, "op3_shared")  # written, so that a key which very many rows have can be split in the join
+    crowded = stage(bands.join(shared, "key").distinct(), "op3_crowded")
+    # Only nodes that share a bucket are looked at again, each in one of its rows.
+    rows = sketched.select("node", "_row").join(crowded.select("node").distinct(), "node", "left_semi")
+    chosen = stage(rows.groupBy("node").agg(F.min("_row").alias("_row")).select("_row"), "op3_chosen")
+    nodes = sketched.select("_row", "node", "n_shingles", "registers", "shingles").join(small_side(chosen), "_row", "left_semi")
+    nodes = stage(nodes.drop("_row"), "op3_nodes")
     stars = crowded.where("node <> _first").select(F.col("_first").alias("a"), F.col("node").alias("b")).distinct()
     likely = _pairs_with(stars, nodes, {"registers": "r", "n_shingles": "n"}).select("a", "b", "ra", "rb", "na", "nb")
     likely = stage(likely.mapInArrow(_estimated, "a bigint, b bigint, estimate double"), "op3_likely")
@@ -280,6 +311,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def representatives(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, but for near duplicates of a document with a smaller id."""
     gone = stage(near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("_doc"), F.col("_text_hash").alias("_hash")).distinct(), "op3_gone")
-    hashed = docs.withColumn("_text_hash", F.xxhash64(text_of()))
+    hashed = boxed(docs, "doc_id", F.xxhash64(text_of()).alias("_text_hash"))
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_text_hash") == F.col("_hash"))
-    return hashed.join(gone.hint("shuffle_hash"), same, "left_anti").select(*docs.columns)
+    return hashed.join(gone.hint("shuffle_hash"), same, "left_anti").select("_row.*")

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BATCH_BYTES = 4 << 20  # texts are worked off in slices of about so many bytes
+BATCH_BYTES = 2 << 20  # texts are worked off in slices of about so many bytes
 STEP = 1 << 21
 # A multiplier that is odd, its inverse modulo 2^64, and the finaliser's constants.
 _P = 0x9E3779B97F4A7C15
