@@ -56,6 +56,7 @@ def exact_groups(docs: DataFrame, extra: dict[str, Column] | None = None) -> Dat
     groups = hashed.groupBy("_full").agg(
         F.count("*").alias("group_size"), F.max(F.struct("_points", (-F.col("doc_id")).alias("_minus"))).alias("_best")
     ).select("_full", "group_size", F.col("_best._points").alias("_most"), (-F.col("_best._minus")).alias("keep_id"))
+    groups = stage(groups, "op4_groups")  # written, so that a large group can be split in the join
     verdicts = stage(
         hashed.join(groups, "_full").withColumn(
             "_wins", F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("_points") == F.col("_most"))

@@ -167,7 +167,8 @@ def kept_suffixes(docs: DataFrame) -> DataFrame:
     holders = seeds.groupBy("seed").agg(
         F.min("doc_id").alias("_a"), F.max("doc_id").alias("_b"), F.min("_text_hash").alias("_c"), F.max("_text_hash").alias("_d")
     )
-    shared = holders.where("_a < _b OR _c < _d").select("seed")
+    # Written, so that a seed which very many documents hold can be split in the join.
+    shared = stage(holders.where("_a < _b OR _c < _d").select("seed"), "op10_shared")
     places = seeds.join(shared, "seed", "left_semi").groupBy("doc_id", "_text_hash").agg(
         F.collect_set(F.struct("place", "seed")).alias("found")
     )
