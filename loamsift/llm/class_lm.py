@@ -320,4 +320,4 @@ def score(blocks: DataFrame, words: DataFrame, model: dict) -> DataFrame:
                 ], names))
         return pa.concat_tables(parts) if parts else pa.schema([]).empty_table()
 
-    return blocks.groupBy("block").cogroup(rare.groupBy("of_block")).applyInArrow(scored, SCORES)
+    return blocks.drop("counts").groupBy("block").cogroup(rare.groupBy("of_block")).applyInArrow(scored, SCORES)
