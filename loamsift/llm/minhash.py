@@ -5,7 +5,8 @@ which keeps the leading-zero count and ten further bits of the smallest hash of
 neighbouring registers make a band; documents that share a band are candidates. At a similarity
 of 0.75 two documents share one of the 21 bands but for one pair in 100,000.
 
-Copies of a set are one node. Within a bucket every node is first compared with the smallest one
+Copies of a set are one node. The first scan writes bands only; the registers and full sets of nodes that
+share a bucket are made anew in a second scan of their documents. Within a bucket every node is first compared with the smallest one
 only: a group of near copies costs a comparison per copy and band. The similarity that the registers
 estimate, less the matches expected by chance, sorts out hopeless pairs; the others are confirmed on
 full sets, for each node the likeliest first, so that most pairs turn out to be linked already. Only
@@ -44,6 +45,7 @@ MARGIN = 4.5  # standard deviations by which an estimate may fall short
 CHANCE = 0.16991948
 
 SKETCH = "doc_id bigint, _text_hash bigint, n_shingles bigint, node bigint, bands array<bigint>, registers binary, shingles binary"
+NARROW = ["doc_id", "_text_hash", "n_shingles", "node", "bands"]
 
 
 def _sets(words: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
@@ -101,10 +103,14 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ], names)
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text_of()).alias("_text_hash"), "text")
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """Set, registers and bands of every document (a written table; ``_row`` numbers its rows)."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text_of()).alias("_text_hash"), "text")
-    return stage(rows.mapInArrow(_sketched, SKETCH).withColumn("_row", F.monotonically_increasing_id()), "op3_sketches")
+    """Size, node and bands of every document (a written table). Sets are made anew for candidates only."""
+    schema = ", ".join(part for part in SKETCH.split(", ") if part.split()[0] in NARROW)
+    return stage(_texts(docs).mapInArrow(lambda batches: (b.select(NARROW) for b in _sketched(batches)), schema), "op3_sketches")
 
 
 def similarity(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -271,18 +277,25 @@ def _blocks(crowded: DataFrame, labels: DataFrame) -> DataFrame:
     return dealt.withColumn("_chunk", chunk).select("key", "node", "label", "own", F.explode(blocks).alias("block"))
 
 
-def linked_components(sketched: DataFrame) -> DataFrame:
+def _candidates(docs: DataFrame, sketched: DataFrame, crowded: DataFrame) -> DataFrame:
+    """``node, n_shingles, registers, shingles`` of the nodes in ``crowded``, each from one of its documents."""
+    rows = sketched.select("node", "doc_id", "_text_hash").join(crowded.select("node").distinct(), "node", "left_semi")
+    chosen = rows.groupBy("node").agg(F.min(F.struct("_text_hash", "doc_id")).alias("_row"))
+    chosen = stage(chosen.select(F.col("_row.doc_id").alias("_doc"), F.col("_row._text_hash").alias("_hash")), "op3_chosen")
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_text_hash") == F.col("_hash"))
+    again = _texts(docs).join(small_side(chosen), same, "left_semi").mapInArrow(_sketched, SKETCH)
+    nodes = stage(again.select("node", "n_shingles", "registers", "shingles"), "op3_nodes")
+    return nodes if nodes.count() == chosen.count() else stage(nodes.dropDuplicates(["node"]), "op3_nodes")  # repeated rows
+
+
+def linked_components(docs: DataFrame, sketched: DataFrame) -> DataFrame:
     """``node, label`` of all nodes that are linked with another one."""
     # Copies of a set are one node: a bucket counts if it holds two different ones.
     bands = sketched.where("node IS NOT NULL").select("node", F.explode("bands").alias("key"))
     shared = bands.groupBy("key").agg(F.min("node").alias("_first"), F.max("node").alias("_last")).where("_first < _last").drop("_last")
     shared = stage(shared, "op3_shared")  # written, so that a key which very many rows have can be split in the join
     crowded = stage(bands.join(shared, "key").distinct(), "op3_crowded")
-    # Only nodes that share a bucket are looked at again, each in one of its rows.
-    rows = sketched.select("node", "_row").join(crowded.select("node").distinct(), "node", "left_semi")
-    chosen = stage(rows.groupBy("node").agg(F.min("_row").alias("_row")).select("_row"), "op3_chosen")
-    nodes = sketched.select("_row", "node", "n_shingles", "registers", "shingles").join(small_side(chosen), "_row", "left_semi")
-    nodes = stage(nodes.drop("_row"), "op3_nodes")
+    nodes = _candidates(docs, sketched, crowded)
     stars = crowded.where("node <> _first").select(F.col("_first").alias("a"), F.col("node").alias("b")).distinct()
     likely = _pairs_with(stars, nodes, {"registers": "r", "n_shingles": "n"}).select("a", "b", "ra", "rb", "na", "nb")
     likely = stage(likely.mapInArrow(_estimated, "a bigint, b bigint, estimate double"), "op3_likely")
@@ -298,10 +311,11 @@ def linked_components(sketched: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """A row per document: ``doc_id, _text_hash, n_shingles, component_id, kept``."""
     sketched = sketches(docs)
-    labels = linked_components(sketched)
+    labels = linked_components(docs, sketched)
     rows = sketched.select("doc_id", "_text_hash", "n_shingles", "node").join(labels, "node", "left")
     rows = stage(rows.select("doc_id", "_text_hash", "n_shingles", "node", F.coalesce("label", "node").alias("_component")), "op3_rows")
     least = rows.where("node IS NOT NULL").groupBy("_component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("_n"))
+    least = stage(least, "op3_least")  # written, so that a large component can be split in the join
     grouped = rows.join(least.where("_n > 1"), "_component").select("doc_id", "_text_hash", "n_shingles", "component_id")
     single = rows.where("node IS NOT NULL").join(least.where("_n = 1").select("_component"), "_component", "left_semi")
     single = single.unionByName(rows.where("node IS NULL")).select("doc_id", "_text_hash", "n_shingles", F.col("doc_id").alias("component_id"))
