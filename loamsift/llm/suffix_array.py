@@ -9,7 +9,8 @@ extended to the right, finds the partner with whom the left part is longest. Mat
 become spans, and overlapping spans of a document one span.
 
 Partitions are bounded by rows, not by seeds, so a passage that a third of all documents hold is sorted by
-many tasks. The outermost rows of each partition are compared in a next, much smaller, round.
+many tasks. Rows of one document that stand together are a run. All rows of the first and the last run of a partition get the
+nearest row of another document from the partitions beyond it, however many of those the run goes through.
 
 Words are compared by 32-bit hashes with A-Z in lower case; a match is at least ``MIN_WORDS`` of them in a row.
 Defined cases: null, empty and short texts have no spans. Rows that repeat an id and text are one document and
@@ -23,6 +24,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from loamsift.llm import wordhash
@@ -37,7 +40,11 @@ _LAST = np.uint64((1 << 64) - 1)
 
 SEEDS = "doc_id bigint, _text_hash bigint, seed bigint, place int"
 SUFFIXES = "doc_id bigint, _text_hash bigint, seed bigint, place int, before binary, after binary"
-MATCHES = SUFFIXES + ", first int, last int, other_doc_id bigint"
+PAIRS = "doc_id bigint, _text_hash bigint, seed bigint, place int, left int, right int, other_doc_id bigint"
+COMPARED = SUFFIXES + ", left int, right int, other_doc_id bigint, part int, kind tinyint"
+# Fixed values of ``kind``; the pairs have none. A partition offers its outermost rows of two documents at either end.
+FIRST, SECOND, LAST_BUT_ONE, LAST, NEEDS_ABOVE, NEEDS_BELOW = range(6)
+HANDED = "part int, kind tinyint, h_seed bigint, h_doc_id bigint, h_before binary, h_after binary"
 
 
 def _sliding(values: np.ndarray, width: int, best) -> np.ndarray:
@@ -108,26 +115,35 @@ def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.logical_and.accumulate((a == b) & (a > 0), axis=1).sum(1)
 
 
+def _names(schema: str) -> list[str]:
+    return [x.split()[0] for x in schema.split(", ")]
+
+
+def _words_of(column: pa.Array, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(x.as_py() for x in column), np.uint32).reshape(len(column), width)
+
+
+def _documents(rows: pa.RecordBatch) -> np.ndarray:
+    """A number for each row's document."""
+    ids = rows.column("doc_id").fill_null(-1).to_numpy()
+    return wordhash.mixed(ids.view(np.uint64)) + rows.column("_text_hash").to_numpy().view(np.uint64)
+
+
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Matches between neighbours of one sorted partition, and (with no ``first``) its outermost rows."""
+    """Neighbours within one sorted partition, the rows it offers to others, and the rows that need one of another partition."""
     kept = [batch for batch in batches if batch.num_rows]
     if not kept:
         return
+    part = TaskContext.get().partitionId()
     rows = pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
     n = rows.num_rows
-    seed, place = rows.column("seed").to_numpy(), rows.column("place").to_numpy()
-    doc_id = rows.column("doc_id")
-    ids = doc_id.fill_null(-1).to_numpy()
-    doc = wordhash.mixed(ids.view(np.uint64)) + rows.column("_text_hash").to_numpy().view(np.uint64)
-    before, after = (
-        np.frombuffer(b"".join(x.as_py() for x in rows.column(name)), np.uint32).reshape(n, width)
-        for name, width in (("before", LEFT), ("after", RIGHT))
-    )
+    seed, doc_id, doc = rows.column("seed").to_numpy(), rows.column("doc_id"), _documents(rows)
+    before, after = _words_of(rows.column("before"), LEFT), _words_of(rows.column("after"), RIGHT)
     begins = np.concatenate([[True], doc[1:] != doc[:-1]])  # of runs of one document's rows
     run = np.cumsum(begins) - 1
     first_of = np.flatnonzero(begins)
     ends_at = np.append(first_of[1:], n)
-    names = [x.split()[0] for x in MATCHES.split(", ")]
+    names = _names(COMPARED)
     for other in (first_of[run] - 1, ends_at[run]):
         mine = np.flatnonzero((other >= 0) & (other < n))
         mine = mine[seed[mine] == seed[other[mine]]]
@@ -138,26 +154,74 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = rows.take(pa.array(mine))
         nothing = pa.nulls(len(mine), pa.binary())
         yield pa.record_batch([
-            *[found.column(name) for name in names[:4]], nothing, nothing,
-            pa.array((place[mine] - left).astype(np.int32)), pa.array((place[mine] + right).astype(np.int32)), doc_id.take(pa.array(theirs)),
+            *[found.column(name) for name in names[:4]], nothing, nothing, pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32)),
+            doc_id.take(pa.array(theirs)), pa.nulls(len(mine), pa.int32()), pa.nulls(len(mine), pa.int8()),
         ], names)
-    edges = np.unique([0, n - 1, min(n - 1, int(ends_at[0])), max(0, int(first_of[-1]) - 1)])
-    outer = rows.take(pa.array(edges))
-    yield pa.record_batch([*outer.columns, *[pa.nulls(len(edges), kind) for kind in (pa.int32(), pa.int32(), pa.int64())]], names)
+    ends = [(FIRST, 0), (LAST, n - 1)]
+    if len(first_of) > 1:
+        ends += [(SECOND, ends_at[0]), (LAST_BUT_ONE, first_of[-1] - 1)]
+    kinds = np.concatenate([[kind for kind, _ in ends], np.full(ends_at[0], NEEDS_ABOVE), np.full(n - first_of[-1], NEEDS_BELOW)])
+    outer = rows.take(pa.array(np.concatenate([[at for _, at in ends], np.arange(ends_at[0]), np.arange(first_of[-1], n)]).astype(np.int64)))
+    nothing = [pa.nulls(len(kinds), kind) for kind in (pa.int32(), pa.int32(), pa.int64())]
+    yield pa.record_batch([*outer.columns, *nothing, pa.array(np.full(len(kinds), part, np.int32)), pa.array(kinds.astype(np.int8))], names)
 
 
-def _neighbour_matches(suffixes: DataFrame, order: list[str]) -> DataFrame:
-    """Matches of neighbours in ``order``, across partitions too."""
-    names, found = suffixes.columns, None
-    while True:
-        tasks = -(-suffixes.count() // ROWS_PER_TASK)
-        ranged = suffixes.repartitionByRange(max(1, tasks), *order).sortWithinPartitions(*order)
-        compared = stage(ranged.mapInArrow(_compared, MATCHES), "op10_compared")
-        matches = compared.where("first IS NOT NULL").select("doc_id", "_text_hash", "first", "last", "other_doc_id")
-        found = matches if found is None else found.unionByName(matches)
-        if tasks <= 1:
-            return found
-        suffixes = compared.where("first IS NULL").select(*names)
+def _handed_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each partition the nearest row of another document above its first run and below its last one."""
+    kept = [batch for batch in batches if batch.num_rows]
+    if not kept:
+        return
+    rows = pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
+    doc = _documents(rows)
+    by_part: dict[int, dict[int, int]] = {}
+    for at, (part, kind) in enumerate(zip(rows.column("part").to_pylist(), rows.column("kind").to_pylist())):
+        by_part.setdefault(part, {})[kind] = at
+    found = []
+    for parts, needs, near, far, next_far in (
+        (sorted(by_part), NEEDS_ABOVE, FIRST, LAST, LAST_BUT_ONE), (sorted(by_part, reverse=True), NEEDS_BELOW, LAST, FIRST, SECOND),
+    ):
+        nearest = nearest_other = None  # the last row so far, and the last one of another document than that
+        for part in parts:
+            own = by_part[part]
+            if nearest is not None and (hand := nearest if doc[nearest] != doc[own[near]] else nearest_other) is not None:
+                found.append((part, needs, hand))
+            if next_far in own:
+                nearest_other = own[next_far]
+            elif nearest is not None and doc[nearest] != doc[own[far]]:
+                nearest_other = nearest
+            nearest = own[far]
+    at = pa.array([hand for *_, hand in found], pa.int64())
+    given = rows.take(at)
+    yield pa.record_batch([
+        pa.array([part for part, *_ in found], pa.int32()), pa.array([kind for _, kind, _ in found], pa.int8()), given.column("seed"),
+        *[given.column(name) for name in ("doc_id", "before", "after")],
+    ], _names(HANDED))
+
+
+def _with_handed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of rows and the row that was handed to them."""
+    for batch in batches:
+        batch = batch.filter(pc.equal(batch.column("seed"), batch.column("h_seed")))
+        left = _common(_words_of(batch.column("before"), LEFT), _words_of(batch.column("h_before"), LEFT))
+        right = _common(_words_of(batch.column("after"), RIGHT), _words_of(batch.column("h_after"), RIGHT))
+        pairs = [batch.column(name) for name in _names(PAIRS)[:4]]
+        pairs += [pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32)), batch.column("h_doc_id")]
+        yield pa.record_batch(pairs, _names(PAIRS)).filter(pa.array(left + right >= MIN_WORDS))
+
+
+def _neighbour_pairs(suffixes: DataFrame, order: list[str]) -> DataFrame:
+    """Neighbours of different documents in ``order``, across partitions too, and how far they agree on either side."""
+    tasks = max(1, -(-suffixes.count() // ROWS_PER_TASK))
+    ranged = suffixes.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    compared = stage(ranged.mapInArrow(_compared, COMPARED), "op10_compared")
+    found = compared.where("kind IS NULL").select(*_names(PAIRS))
+    if tasks == 1:
+        return found
+    # At most four rows per partition go to one task, two come back.
+    offers = compared.where(F.col("kind") < NEEDS_ABOVE).coalesce(1)
+    handed = stage(offers.mapInArrow(_handed_on, HANDED), "op10_handed")
+    needing = compared.where(F.col("kind") >= NEEDS_ABOVE).select(*_names(SUFFIXES), "part", "kind")
+    return found.unionByName(stage(needing.join(handed, ["part", "kind"]).mapInArrow(_with_handed, PAIRS), "op10_handed_pairs"))
 
 
 def kept_suffixes(docs: DataFrame) -> DataFrame:
@@ -186,9 +250,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """
     suffixes = kept_suffixes(docs)
     tail = ["doc_id", "_text_hash", "place"]
-    matches = _neighbour_matches(suffixes, ["seed", "after", "before", *tail]).unionByName(
-        _neighbour_matches(suffixes, ["seed", "before", "after", *tail])
+    pairs = _neighbour_pairs(suffixes, ["seed", "after", "before", *tail]).unionByName(
+        _neighbour_pairs(suffixes, ["seed", "before", "after", *tail])
     )
+    matches = pairs.withColumns({"first": F.col("place") - F.col("left"), "last": F.col("place") + F.col("right")})
     matches = matches.groupBy("doc_id", "_text_hash", "first", "last").agg(F.min("other_doc_id").alias("other_doc_id"))
     by_doc = Window.partitionBy("doc_id", "_text_hash").orderBy("first", "last")
     reach = F.max("last").over(by_doc.rowsBetween(Window.unboundedPreceding, -1))
