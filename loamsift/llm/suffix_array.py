@@ -8,6 +8,9 @@ of other documents and the match is extended to the left. A second order, by wha
 extended to the right, finds the partner with whom the left part is longest. Matches of ``MIN_WORDS`` words or more
 become spans, and overlapping spans of a document one span.
 
+The two orders give the longest agreement on either side, and what lies within both but in no match is open: a third document
+may hold it. All windows of ``MIN_WORDS`` words at the seeds where one is open are hashed, and the documents counted per hash.
+
 Partitions are bounded by rows, not by seeds, so a passage that a third of all documents hold is sorted by
 many tasks. Rows of one document that stand together are a run. All rows of the first and the last run of a partition get the
 nearest row of another document from the partitions beyond it, however many of those the run goes through.
@@ -44,6 +47,8 @@ PAIRS = "doc_id bigint, _text_hash bigint, seed bigint, place int, left int, rig
 COMPARED = SUFFIXES + ", left int, right int, other_doc_id bigint, part int, kind tinyint"
 # Fixed values of ``kind``; the pairs have none. A partition offers its outermost rows of two documents at either end.
 FIRST, SECOND, LAST_BUT_ONE, LAST, NEEDS_ABOVE, NEEDS_BELOW = range(6)
+WINDOWS = "doc_id bigint, _text_hash bigint, doc bigint, first int, hash bigint"
+HASHED_ROWS = 10_000  # rows whose windows are hashed at once
 HANDED = "part int, kind tinyint, h_seed bigint, h_doc_id bigint, h_before binary, h_after binary"
 
 
@@ -149,8 +154,6 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = mine[seed[mine] == seed[other[mine]]]
         theirs = other[mine]
         left, right = _common(before[mine], before[theirs]), _common(after[mine], after[theirs])
-        use = left + right >= MIN_WORDS
-        mine, theirs, left, right = mine[use], theirs[use], left[use], right[use]
         found = rows.take(pa.array(mine))
         nothing = pa.nulls(len(mine), pa.binary())
         yield pa.record_batch([
@@ -206,7 +209,7 @@ def _with_handed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         right = _common(_words_of(batch.column("after"), RIGHT), _words_of(batch.column("h_after"), RIGHT))
         pairs = [batch.column(name) for name in _names(PAIRS)[:4]]
         pairs += [pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32)), batch.column("h_doc_id")]
-        yield pa.record_batch(pairs, _names(PAIRS)).filter(pa.array(left + right >= MIN_WORDS))
+        yield pa.record_batch(pairs, _names(PAIRS))
 
 
 def _neighbour_pairs(suffixes: DataFrame, order: list[str]) -> DataFrame:
@@ -224,6 +227,49 @@ def _neighbour_pairs(suffixes: DataFrame, order: list[str]) -> DataFrame:
     return found.unionByName(stage(needing.join(handed, ["part", "kind"]).mapInArrow(_with_handed, PAIRS), "op10_handed_pairs"))
 
 
+def _windows_within(left, right):
+    """Bit ``a`` for each window of ``MIN_WORDS`` words that begins ``a`` words before the seed and lies within both sides."""
+    low, one = F.lit(MIN_WORDS) - right, F.lit(1).cast("bigint")
+    bits = F.call_function("shiftleft", one, left + 1) - F.call_function("shiftleft", one, low)
+    return F.when(low <= left, bits).otherwise(F.lit(0).cast("bigint"))
+
+
+def _window_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of the windows at kept places that ``open`` has bits for."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, HASHED_ROWS):
+            rows = batch.slice(begin, HASHED_ROWS)
+            words = np.concatenate([_words_of(rows.column("before"), LEFT)[:, ::-1], _words_of(rows.column("after"), RIGHT)], axis=1)
+            starts = np.arange(LEFT + 1)  # among the words around a place, the first of which is LEFT words before it
+            whole = _sliding(words.T, MIN_WORDS, np.minimum).T > 0  # no window reaches beyond the text
+            asked = (rows.column("open").to_numpy()[:, None] >> (LEFT - starts)) & 1 > 0
+            row, start = np.nonzero(asked & whole)
+            hashes = wordhash.runs_of(words.ravel().astype(np.uint64), MIN_WORDS)[row * words.shape[1] + start]
+            own = rows.take(pa.array(row))
+            yield pa.record_batch([
+                own.column("doc_id"), own.column("_text_hash"), pa.array(_documents(rows).view(np.int64)[row]),
+                pa.array((own.column("place").to_numpy() + start - LEFT).astype(np.int32)), pa.array(hashes.view(np.int64)),
+            ], _names(WINDOWS))
+
+
+def _open_windows(suffixes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Windows that other documents hold, at the seeds where pairs of neighbours leave one open."""
+    key = ["doc_id", "_text_hash", "seed", "place"]
+    sides = pairs.groupBy(*key).agg(
+        F.max("left").alias("left"), F.max("right").alias("right"), F.bit_or(_windows_within(F.col("left"), F.col("right"))).alias("known")
+    )
+    left_open = _windows_within(F.col("left"), F.col("right")).bitwiseAND(F.bitwise_not("known"))
+    open_seeds = sides.select("seed", left_open.alias("open")).where("open <> 0").groupBy("seed").agg(F.bit_or("open").alias("open"))
+    asked = suffixes.join(stage(open_seeds, "op10_open"), "seed")
+    windows = stage(asked.mapInArrow(_window_hashes, WINDOWS), "op10_windows")
+    holders = windows.groupBy("hash").agg(
+        F.min("doc").alias("_a"), F.max("doc").alias("_b"), F.min("doc_id").alias("_least"), F.max("doc_id").alias("_most")
+    )
+    shared = stage(holders.where("_a < _b").select("hash", "_least", "_most"), "op10_held")
+    other = F.when(F.col("_least").eqNullSafe(F.col("doc_id")), F.col("_most")).otherwise(F.col("_least"))
+    return windows.join(shared, "hash").select("doc_id", "_text_hash", F.col("first"), (F.col("first") + MIN_WORDS).alias("last"), other.alias("other_doc_id"))
+
+
 def kept_suffixes(docs: DataFrame) -> DataFrame:
     """Suffixes whose seed another document holds too, with their contexts (a written table)."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text_of()).alias("_text_hash"), text_of().alias("text"))
@@ -253,7 +299,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     pairs = _neighbour_pairs(suffixes, ["seed", "after", "before", *tail]).unionByName(
         _neighbour_pairs(suffixes, ["seed", "before", "after", *tail])
     )
-    matches = pairs.withColumns({"first": F.col("place") - F.col("left"), "last": F.col("place") + F.col("right")})
+    matches = pairs.where(F.col("left") + F.col("right") >= MIN_WORDS).select(
+        "doc_id", "_text_hash", (F.col("place") - F.col("left")).alias("first"), (F.col("place") + F.col("right")).alias("last"), "other_doc_id"
+    ).unionByName(_open_windows(suffixes, pairs))
     matches = matches.groupBy("doc_id", "_text_hash", "first", "last").agg(F.min("other_doc_id").alias("other_doc_id"))
     by_doc = Window.partitionBy("doc_id", "_text_hash").orderBy("first", "last")
     reach = F.max("last").over(by_doc.rowsBetween(Window.unboundedPreceding, -1))

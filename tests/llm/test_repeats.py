@@ -40,3 +40,11 @@ def test_a_run_of_one_document_over_many_partitions(spark, monkeypatch):
     own = " ".join(f"{passage} " + " ".join(f"own{i}x{j}" for j in range(i % 3 * 4 + 1)) for i in range(60))
     texts = {1: own, 2: f"before {passage}", 3: f"{passage} after"}
     assert found(spark, texts) == brute_force(texts)
+
+
+def test_a_group_of_edited_copies(spark):
+    """The best partners to the left and to the right of a seed differ, and a third document holds the passage between."""
+    draw = random.Random(7)
+    words = [f"word{i}" for i in range(400)]
+    texts = {k: " ".join(f"edit{k}x{i}" if draw.random() < 1 / 20 else w for i, w in enumerate(words)) for k in range(400)}
+    assert found(spark, texts) == brute_force(texts)
