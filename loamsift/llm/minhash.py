@@ -3,7 +3,9 @@
 A document is its set of distinct 5-word shingles. One hash per shingle fills one of 64 registers,
 which keeps the leading-zero count and ten further bits of the smallest hash of its part. Three
 neighbouring registers make a band; documents that share a band are candidates. At a similarity
-of 0.75 two documents share one of the 21 bands but for one pair in 100,000.
+of 0.75 two documents share one of the 21 bands but for one pair in 100,000. Very small sets fill few
+bands and would be missed more often, so a set of up to ``SMALL`` shingles is also linked to what it is without
+one of them: with up to five shingles in the smaller set no other sets are similar enough.
 
 Copies of a set are one node. The first scan writes bands only; the registers and full sets of nodes that
 share a bucket are made anew in a second scan of their documents. Within a bucket every node is first compared with the smallest one
@@ -38,14 +40,15 @@ REGISTERS = 64
 BAND = 3
 BITS = 10
 BLOCK = 2048  # nodes of one bucket that are compared in one go
+SMALL = 8  # shingles up to which a set looks for the sets with one shingle less
 FEW = 8  # sets that are intersected one by one
 LARGE = 8_000_000  # shingles of a block beyond which all are
 MARGIN = 4.5  # standard deviations by which an estimate may fall short
 # Fixed value: the share of chance matches between registers with one further bit.
 CHANCE = 0.16991948
 
-SKETCH = "doc_id bigint, _text_hash bigint, n_shingles bigint, node bigint, bands array<bigint>, registers binary, shingles binary"
-NARROW = ["doc_id", "_text_hash", "n_shingles", "node", "bands"]
+SKETCH = "doc_id bigint, _text_hash bigint, n_shingles bigint, node bigint, bands array<bigint>, smaller array<bigint>, registers binary, shingles binary"
+NARROW = ["doc_id", "_text_hash", "n_shingles", "node", "bands", "smaller"]
 
 
 def _sets(words: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
@@ -95,10 +98,17 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             flat = np.concatenate([*sets, words[:0]])
             registers = _registers(flat, np.repeat(np.arange(len(sets)), sizes), len(sets))
             edges = np.concatenate([[0], np.cumsum(sizes)])
-            node = wordhash.mixed(wordhash.sums(wordhash.mixed(flat + np.uint64(1)), edges, np.uint64) + sizes.astype(np.uint64)).view(np.int64)
+            each = wordhash.mixed(flat + np.uint64(1))
+            total = wordhash.sums(each, edges, np.uint64) + sizes.astype(np.uint64)
+            node = wordhash.mixed(total).view(np.int64)
+            # The nodes of the set without one shingle: similar enough from four shingles on.
+            smaller = [
+                wordhash.mixed(total[i] - each[edges[i] : edges[i + 1]] - np.uint64(1)).view(np.int64) if 100 * (n - 1) >= PERCENT * n and n <= SMALL else node[:0]
+                for i, n in enumerate(sizes.tolist())
+            ]
             yield pa.record_batch([
                 part.column("doc_id"), part.column("_text_hash"), pa.array(sizes, pa.int64()), pa.array(node, mask=sizes == 0),
-                pa.array(_bands(registers), pa.list_(pa.int64())), pa.array([r.tobytes() for r in registers], pa.binary()),
+                pa.array(_bands(registers), pa.list_(pa.int64())), pa.array(smaller, pa.list_(pa.int64())), pa.array([r.tobytes() for r in registers], pa.binary()),
                 pa.array([s.tobytes() for s in sets], pa.binary()),
             ], names)
 
@@ -288,6 +298,13 @@ def _candidates(docs: DataFrame, sketched: DataFrame, crowded: DataFrame) -> Dat
     return nodes if nodes.count() == chosen.count() else stage(nodes.dropDuplicates(["node"]), "op3_nodes")  # repeated rows
 
 
+def _small_links(sketched: DataFrame) -> DataFrame:
+    """Links of small sets to sets that lack one of their shingles; a node says what is in a set, so none is compared."""
+    found = sketched.select("n_shingles", F.col("node").alias("b"), F.explode("smaller").alias("a")).distinct()
+    nodes = sketched.where(F.col("n_shingles").between(1, SMALL)).select((F.col("n_shingles") + 1).alias("n_shingles"), F.col("node").alias("a"))
+    return found.join(nodes.distinct(), ["n_shingles", "a"]).select("a", "b")
+
+
 def linked_components(docs: DataFrame, sketched: DataFrame) -> DataFrame:
     """``node, label`` of all nodes that are linked with another one."""
     # Copies of a set are one node: a bucket counts if it holds two different ones.
@@ -300,7 +317,7 @@ def linked_components(docs: DataFrame, sketched: DataFrame) -> DataFrame:
     likely = _pairs_with(stars, nodes, {"registers": "r", "n_shingles": "n"}).select("a", "b", "ra", "rb", "na", "nb")
     likely = stage(likely.mapInArrow(_estimated, "a bigint, b bigint, estimate double"), "op3_likely")
     best = likely.groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a"))
-    labels = _relabelled(None, stage(_confirm(best, nodes), "op3_links"))
+    labels = _relabelled(None, stage(_confirm(best, nodes).unionByName(_small_links(sketched)), "op3_links"))
     labels = _relabelled(labels, stage(_confirm(_across(likely, labels), nodes), "op3_links"))
     blocks = _blocks(crowded.select("key", "node"), labels).join(nodes.select("node", "n_shingles", "registers", "shingles"), "node")
     blocks = blocks.repartition("key", "block").sortWithinPartitions("key", "block", "node")
