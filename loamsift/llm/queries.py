@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loamsift.llm import class_lm, exact_dedup, licenses, line_dedup, minhash, mixing, packing, quality, sharding, suffix_array
+from loamsift.llm import class_lm, exact_dedup, licenses, line_dedup, minhash, mixing, packing, quality, sharding, suffix_array, wavelet
 from loamsift.llm.common import text_of, without_space
 from loamsift.operators.staging import stage
 
@@ -77,6 +77,10 @@ def op10_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     return spans.select("doc_id", "start_word", "end_word")
 
 
+def op12_wavelet(spark: SparkSession, folder: str) -> DataFrame:
+    return wavelet.documents(wavelet.written(documents(spark, folder)))
+
+
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op2_mix": op2_mix,
@@ -88,4 +92,5 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_pack": op9_pack,
     "op10_suffix_array": op10_suffix_array,
+    "op12_wavelet": op12_wavelet,
 }
