@@ -149,4 +149,101 @@ ORACLE = {
         )
         SELECT doc_id, min(i)::BIGINT AS start_word, max(i)::BIGINT + 50 AS end_word FROM spans GROUP BY doc_id, span
     """,
+    # From the last row to the first, what is left to pay in each of four states (nothing yet, system, user,
+    # assistant), with the initials and the text that come of it; then up to three turns put in before the row.
+    "op11_dialogues": rf"""
+        WITH RECURSIVE steps AS (
+            SELECT n, 0 AS k, n::UBIGINT AS c FROM range(256) r(n)
+            UNION ALL
+            SELECT n, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END FROM steps WHERE k < 8
+        ), checks AS (
+            SELECT list(c ORDER BY n) AS t FROM steps WHERE k = 8
+        ), named AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS id
+            FROM conversations
+        ), coded AS (
+            SELECT *, xor(list_reduce(
+                       list_concat([4294967295::UBIGINT], list_transform(range(1, length(id) + 1), lambda i: ascii(substr(id, i, 1))::UBIGINT)),
+                       lambda c, b: xor(c >> 8, t[(xor(c, b) & 255)::BIGINT + 1])), 4294967295::UBIGINT) % 20 AS fate
+            FROM named, checks
+        ), damaged AS (
+            SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role, "copy",
+                   CASE WHEN fate = 1 THEN '' WHEN fate = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+            FROM coded, (VALUES (0), (1)) c("copy") WHERE fate <> 0 AND ("copy" = 0 OR fate = 3)
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, "copy") AS i,
+                   row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, "copy") AS nth,
+                   lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, "copy") AS earlier,
+                   rtrim(text, {SPACE_CHARS}) AS inside
+            FROM damaged
+        ), judged AS (
+            SELECT *, CASE WHEN inside = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+                           WHEN right(inside, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+            FROM placed
+        ), given AS (
+            SELECT conv_id, i, role, text, fault IN ('blank', 'duplicate') AS gone, (fault = 'truncated')::BIGINT AS late,
+                   CASE left(role, 1) WHEN 's' THEN [2, 0, 0, 0] WHEN 'u' THEN [3, 3, 0, 3] WHEN 'a' THEN [0, 0, 4, 0] ELSE [0, 0, 0, 0] END AS goes
+            FROM judged
+        ), left_over AS (
+            SELECT conv_id, max(i) + 1 AS i, [
+                {{'c': 0::BIGINT, 'a': '', 'r': ''}},
+                {{'c': 4::BIGINT, 'a': 'II', 'r': chr(10) || 'user:' || chr(10) || 'assistant:'}},
+                {{'c': 2::BIGINT, 'a': 'I', 'r': chr(10) || 'assistant:'}},
+                {{'c': 0::BIGINT, 'a': '', 'r': ''}}] AS v
+            FROM given GROUP BY conv_id
+            UNION ALL
+            SELECT conv_id, i, list_transform([1, 2, 3, 4], lambda s: least(b[s], {{'c': 2 + v2[due[s]].c, 'a': 'I' || v2[due[s]].a, 'r': who[s] || v2[due[s]].r}})) AS v
+            FROM (
+                SELECT *, list_transform([1, 2, 3, 4], lambda s: least(b[s], {{'c': 2 + v1[due[s]].c, 'a': 'I' || v1[due[s]].a, 'r': who[s] || v1[due[s]].r}})) AS v2
+                FROM (
+                    SELECT *, list_transform([1, 2, 3, 4], lambda s: least(b[s], {{'c': 2 + b[due[s]].c, 'a': 'I' || b[due[s]].a, 'r': who[s] || b[due[s]].r}})) AS v1
+                    FROM (
+                        SELECT g.conv_id, g.i, due, who, list_transform([1, 2, 3, 4], lambda s: least(
+                                   {{'c': 3 + v[s].c, 'a': 'D' || v[s].a, 'r': v[s].r}},
+                                   {{'c': CASE WHEN gone THEN 1000000 ELSE 2 + late + v[due[s]].c END, 'a': 'R' || v[due[s]].a, 'r': who[s] || text || v[due[s]].r}},
+                                   CASE WHEN gone OR goes[s] = 0 THEN {{'c': 1000000::BIGINT, 'a': '', 'r': ''}}
+                                        ELSE {{'c': late + v[goes[s]].c, 'a': 'K' || v[goes[s]].a, 'r': chr(10) || role || ':' || text || v[goes[s]].r}} END)) AS b
+                        FROM left_over l JOIN given g ON g.conv_id IS NOT DISTINCT FROM l.conv_id AND g.i = l.i - 1,
+                             (SELECT [3, 3, 4, 3] AS due, [chr(10) || 'user:', chr(10) || 'user:', chr(10) || 'assistant:', chr(10) || 'user:'] AS who)
+                    )
+                )
+            )
+        ), counted AS (
+            SELECT conv_id, CASE WHEN count(turn) = 0 THEN 0 ELSE max(turn) - min(turn) + 1 - count(DISTINCT turn) END AS gaps,
+                   count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+                   count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+                   count(*) FILTER (WHERE earlier IS NOT NULL AND left(earlier, 1) || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM judged GROUP BY conv_id
+        )
+        SELECT d.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(v[1].c, 0) AS cost,
+               coalesce(v[1].a, '') AS audit, sha256(substr(coalesce(v[1].r, ''), 2)) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) d
+        LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM d.conv_id
+        LEFT JOIN left_over l ON l.conv_id IS NOT DISTINCT FROM d.conv_id AND l.i = 1
+    """,
+    # Every document that shares a term with an item is scored. Texts are lower-cased first, so capitals need no class.
+    "op13_search": rf"""
+        WITH terms AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {LOWER}), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM documents
+        ), totals AS (
+            SELECT count(*) FILTER (WHERE len(w) > 0) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM terms
+        ), counted AS (
+            SELECT doc_id, len(w)::BIGINT AS n, term, count(*) AS tf FROM terms, unnest(w) AS t(term) GROUP BY ALL
+        ), weights AS (
+            SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+            FROM counted, totals GROUP BY term, n_docs
+        ), items AS (
+            SELECT item_id, unnest(list_distinct(regexp_extract_all(translate(coalesce(text, ''), {LOWER}), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+'))) AS term
+            FROM benchmark
+        ), scored AS (
+            SELECT item_id, doc_id,
+                   sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms))))::BIGINT AS score
+            FROM items JOIN counted USING (term) JOIN weights USING (term), totals GROUP BY item_id, doc_id
+        )
+        SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+        FROM scored WHERE score > 0
+        QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+    """,
 }

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loamsift.llm import class_lm, exact_dedup, licenses, line_dedup, minhash, mixing, packing, quality, sharding, suffix_array, wavelet
+from loamsift.llm import class_lm, dialogue, exact_dedup, lexical, licenses, line_dedup, minhash, mixing, packing, quality, sharding, suffix_array, wavelet
 from loamsift.llm.common import text_of, without_space
 from loamsift.operators.staging import stage
 
@@ -77,10 +79,26 @@ def op10_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     return spans.select("doc_id", "start_word", "end_word")
 
 
+def op11_dialogues(spark: SparkSession, folder: str) -> DataFrame:
+    rows = spark.read.parquet(f"{folder}/conversations.parquet")
+    told = dialogue.report(dialogue.damaged(rows)).withColumnRenamed("conv_id", "_own")
+    found = rows.select("conv_id").distinct().join(told, F.col("conv_id").eqNullSafe(F.col("_own")), "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    nothing = F.lit(hashlib.sha256(b"").hexdigest())
+    return found.select(
+        "conv_id", *(F.coalesce(name, F.lit(0).cast("bigint")).alias(name) for name in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"),
+    )
+
+
 def op12_wavelet(spark: SparkSession, folder: str) -> DataFrame:
     return wavelet.documents(wavelet.written(documents(spark, folder)))
 
 
+def op13_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.rank_documents(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op2_mix": op2_mix,
@@ -92,5 +110,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_pack": op9_pack,
     "op10_suffix_array": op10_suffix_array,
+    "op11_dialogues": op11_dialogues,
     "op12_wavelet": op12_wavelet,
+    "op13_search": op13_search,
 }
