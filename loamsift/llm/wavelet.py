@@ -1,8 +1,8 @@
 """Token ids in files that can be searched: one wavelet matrix per shard.
 
 Texts become token ids and an end mark. Documents lie one after another in ascending ``doc_id``
-order (nulls first; rows that share an id by their token ids, so equal rows may stand in either
-order), and that row of tokens is cut into shards between documents. A shard is one Parquet file
+order (nulls first; rows that share an id by a hash of their token ids, so equal rows may stand in
+either order), and that row of tokens is cut into shards between documents. A shard is one Parquet file
 with one row: its document ids and lengths, and its tokens as a wavelet matrix, that is one plane
 of bits per binary digit, highest first, each plane stably ordered by the planes before it, with
 the number of ones before every block of ``BLOCK`` bits. From that one file, which Spark
@@ -37,7 +37,7 @@ END_ID = 1
 SHARD_TOKENS = 1 << 22
 BLOCK = 512  # bits between two stored ranks
 _WORDS = BLOCK // 64
-CACHE_ENTRIES = 400_000
+CACHE_WORDS = 3_000_000
 SCHEMA = (
     "part int, number int, n_tokens bigint, width int, doc_ids array<bigint>, lengths array<bigint>,"
     " zeros array<bigint>, planes array<binary>, ranks array<binary>"
@@ -45,35 +45,68 @@ SCHEMA = (
 
 
 class _Ids:
-    """Ids of whole batches of texts; each distinct word of a batch is encoded once.
+    """Ids of whole batches of texts; a distinct word is encoded once as long as the cache holds it.
 
     The vocabulary drops white space and joins nothing across it, so the ids of a text are those of
-    its words one after another.
+    its words one after another. New words are encoded together, with a special token between them.
+    Known words are kept as sorted arrays, some 25 bytes each.
     """
 
     def __init__(self, path: str):
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
+        special = self.tokenizer.get_added_tokens_decoder()
+        self.mark, self.separator = next(((number, token.content) for number, token in special.items()), (None, None))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys, self.starts, self.sizes = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.store, self.used = np.zeros(1 << 16, "<u4"), 0
+
+    def _encoded(self, words: list[str]) -> list[np.ndarray]:
+        plain = [i for i, word in enumerate(words) if self.separator and "<|" not in word]
+        found: list = [None] * len(words)
+        if plain:
+            joined = self.separator.join(words[i] for i in plain)
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.append(np.flatnonzero(ids == self.mark), len(ids)).tolist()
+            for i, begin, end in zip(plain, [0, *(x + 1 for x in ends)], ends, strict=False):
+                found[i] = ids[begin:end]
+        for i, ids in enumerate(found):
+            if ids is None:
+                found[i] = np.array(self.tokenizer.encode(words[i], add_special_tokens=False).ids, "<u4")
+        return found
+
+    def _learn(self, keys: np.ndarray, words: list[str], may_forget: bool) -> None:
+        if may_forget and len(self.keys) + len(keys) > CACHE_WORDS:
+            self._forget()
+        found = self._encoded(words)
+        sizes = np.array([len(x) for x in found], np.int32)
+        ids = np.concatenate(found)
+        if self.used + len(ids) > len(self.store):
+            self.store = np.concatenate([self.store[: self.used], np.zeros(max(len(ids), self.used), "<u4")])
+        self.store[self.used : self.used + len(ids)] = ids
+        starts = self.used + np.cumsum(sizes) - sizes
+        self.used += len(ids)
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.starts, self.sizes = (np.insert(old, at, new) for old, new in ((self.keys, keys), (self.starts, starts), (self.sizes, sizes)))
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and where each text begins and ends among them."""
         raw, offsets = wordhash.flat(texts)
         begins, ends = wordhash.words(raw, offsets)
-        hashes, where, which = np.unique(wordhash.span_hashes(raw, begins, ends), return_index=True, return_inverse=True)
-        if len(self.known) + len(hashes) > CACHE_ENTRIES:
-            self.known = {}
-        keys = hashes.tolist()
-        if new := [i for i, key in enumerate(keys) if key not in self.known]:
-            data, at = raw.tobytes(), where[new]
-            words = [data[a:b].decode() for a, b in zip(begins[at].tolist(), ends[at].tolist())]
-            for i, found in zip(new, self.tokenizer.encode_batch(words, add_special_tokens=False), strict=True):
-                self.known[keys[i]] = np.array(found.ids, "<u4")
-        found = [self.known[key] for key in keys]
-        sizes = np.array([len(x) for x in found], np.int64)
-        store = np.concatenate([*found, np.zeros(0, "<u4")])
-        starts, each = np.cumsum(sizes) - sizes, sizes[which]
+        keys, where, which = np.unique(wordhash.span_hashes(raw, begins, ends), return_index=True, return_inverse=True)
+        for turn in range(2):  # again if the cache was emptied for the new words
+            at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
+            new = np.flatnonzero(self.keys[at] != keys) if len(self.keys) else np.arange(len(keys))
+            if len(new):
+                data, own = raw.tobytes(), where[new]
+                self._learn(keys[new], [data[a:b].decode() for a, b in zip(begins[own].tolist(), ends[own].tolist())], turn == 0)
+        at = np.searchsorted(self.keys, keys)
+        starts, sizes = self.starts[at], self.sizes[at].astype(np.int64)
+        each = sizes[which]
         upto = np.cumsum(each)
         total = int(upto[-1]) if len(upto) else 0
-        ids = store[np.repeat(starts[which] - (upto - each), each) + np.arange(total)]
+        ids = self.store[np.repeat(starts[which] - (upto - each), each) + np.arange(total)]
         return ids, np.concatenate([[0], upto])[np.searchsorted(begins, offsets)]
 
 
@@ -123,7 +156,7 @@ class WaveletMatrix:
     def of(cls, values: np.ndarray, width: int) -> WaveletMatrix:
         zeros, planes, ranks = [], [], []
         for level in reversed(range(width)):
-            bits = (values >> values.dtype.type(level) & values.dtype.type(1)).astype(bool)
+            bits = values & values.dtype.type(1 << level) != 0
             packed = np.packbits(bits, bitorder="little")
             words = np.zeros(-(-len(values) // BLOCK) * _WORDS, "<u8")
             words.view(np.uint8)[: len(packed)] = packed
@@ -131,7 +164,7 @@ class WaveletMatrix:
             zeros.append(int(len(values) - ones.sum()))
             planes.append(words.tobytes())
             ranks.append(np.concatenate([[0], np.cumsum(ones)]).astype("<u4").tobytes())
-            values = np.concatenate([values[~bits], values[bits]])
+            values = np.concatenate([values.take(np.flatnonzero(~bits)), values.take(np.flatnonzero(bits))])
         return cls(int(len(values)), zeros, planes, ranks)
 
     def _bits(self, level: int, at: np.ndarray) -> np.ndarray:
@@ -201,12 +234,13 @@ class WaveletMatrix:
 
     def values(self) -> np.ndarray:
         """All tokens. Planes are undone from the last to the first, without any lookup."""
-        found = np.zeros(self.n, np.uint32)
+        found = np.zeros(self.n, np.uint16 if self.width <= 16 else np.uint32)
         for level in reversed(range(self.width)):
-            bits = np.unpackbits(self.planes[level].view(np.uint8), count=self.n, bitorder="little").astype(bool)
+            bits = np.unpackbits(self.planes[level].view(np.uint8), count=self.n, bitorder="little").view(bool)
             above = np.empty_like(found)
-            above[~bits], above[bits] = found[: self.zeros[level]], found[self.zeros[level] :]
-            found = above | bits.astype(np.uint32) << np.uint32(self.width - 1 - level)
+            above[np.flatnonzero(~bits)] = found[: self.zeros[level]]
+            above[np.flatnonzero(bits)] = found[self.zeros[level] :] | found.dtype.type(1 << self.width - 1 - level)
+            found = above
         return found
 
 
@@ -243,8 +277,12 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str | None = None, end_
         ("part", pa.int32()), ("number", pa.int32()), ("n_tokens", pa.int64()), ("width", pa.int32()), ("doc_ids", numbers),
         ("lengths", numbers), ("zeros", numbers), ("planes", texts), ("ranks", texts),
     ])
-    ids = stage(encode(docs, vocabulary, end_id), "op12_ids")
-    rows = ids.orderBy(F.col("doc_id").asc_nulls_first(), "ids").mapInArrow(shards, SCHEMA)
+    spark, held = docs.sparkSession, new_path(docs.sparkSession, "op12_ids")
+    encode(docs, vocabulary, end_id).write.option("compression", "zstd").parquet(held)
+    ids = spark.read.schema("doc_id bigint, ids binary").parquet(held).withColumn("_hash", F.xxhash64("ids"))
+    place = [F.col("doc_id").asc_nulls_first(), F.col("_hash")]  # narrow keys, as partition bounds come from a sample of them
+    ordered = ids.repartitionByRange(*place).sortWithinPartitions(*place, "ids").select("doc_id", "ids")
+    rows = ordered.mapInArrow(shards, SCHEMA)
     rows.write.option("maxRecordsPerFile", 1).option("compression", "zstd").parquet(path)
 
 

@@ -81,3 +81,14 @@ def test_null_ids_repeated_rows_long_and_no_texts(spark):
 def test_ids_over_16_bits(tmp_path):
     values = np.array([70_000, 3, 70_000, 65_536], "<u4")
     assert wavelet.WaveletMatrix.of(values, 17).values().tolist() == values.tolist()
+
+
+def test_a_full_cache_starts_anew(monkeypatch):
+    monkeypatch.setattr(wavelet, "CACHE_WORDS", 5)
+    import pyarrow as pa
+
+    ids = wavelet._Ids(wavelet.default_vocabulary())
+    for text in ("one two three", "two four five six", "one two seven eight nine ten eleven <|x", "six <|endoftext|>y"):
+        found, edges = ids.batch(pa.array([text, None, text]))
+        want = ids.tokenizer.encode(text, add_special_tokens=False).ids
+        assert found.tolist() == want * 2 and edges.tolist() == [0, len(want), len(want), 2 * len(want)]
