@@ -379,16 +379,20 @@ FROM catalog c LEFT JOIN {_SOURCE_COUNTS} n ON n.domain = c.domain"""),
   SELECT {_RAW_COLUMNS.format(quality=_ingest_quality('samst.domain'), language='lang')}, c.i
   FROM samst JOIN (SELECT domain AS d, row_number() OVER (ORDER BY {_ORDER_OF_DOMAINS}) AS i FROM (VALUES {_DOMAINS}) v(domain)) c ON c.d = samst.domain
   WHERE nw BETWEEN 10 AND 10000)"""),
-    "ingest_overlapping": f"""WITH rows AS (
+    "file_positions": """SELECT row_number() OVER (ORDER BY CASE WHEN lang = 'en' THEN 1 WHEN lang < 'en' THEN 0 ELSE 2 END, doc_id) - 1 AS doc_id,
+  md5(text) AS text_md5 FROM documents""",
+    "ingest_overlapping": f"""WITH RECURSIVE rows AS (
   SELECT 0 AS s, 'web' AS domain, doc_id AS k, text FROM documents
   UNION ALL SELECT 1, 'conversations', row_number() OVER (), text FROM conversations
   UNION ALL SELECT 2, 'benchmark', item_id, text FROM benchmark
   UNION ALL SELECT 3, 'pages', page_id, html FROM pages
 ), numbered AS (
-  SELECT row_number() OVER (ORDER BY s, k) - 1 AS doc_id, domain, md5(text) AS hash_id FROM rows
+  SELECT row_number() OVER (ORDER BY s, k) - 1 AS doc_id, domain, text, md5(text) AS hash_id FROM rows
   WHERE len({_words('text')}) BETWEEN 10 AND 10000
-)
-SELECT min(doc_id) AS doc_id, arg_min(domain, doc_id) AS domain, hash_id FROM numbered GROUP BY hash_id""",
+), ex AS (
+  SELECT min(doc_id) AS doc_id, arg_min(domain, doc_id) AS domain, any_value(text) AS text, hash_id FROM numbered GROUP BY hash_id
+), {", ".join(_CTES[name] for name in ("grams", "posts", "freq", "pairs", "ordered", "walk", "gone"))}
+SELECT doc_id, domain, hash_id FROM ex ANTI JOIN gone USING (doc_id)""",
     "domain_mix_gap": _sql("docs catalog", f"""SELECT coalesce(c.domain, n.domain) AS domain, coalesce(weight, 0) AS weight,
   round(coalesce(a, 0) / (SELECT count(*) FROM docs), 6) AS share,
   round(coalesce(a, 0) / (SELECT count(*) FROM docs) - coalesce(weight, 0), 6) AS gap

@@ -11,7 +11,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from loamsift import schemas
-from loamsift.config import SOURCE_CATALOG, CorpusConfig, DedupConfig, SamplingConfig, SelectionConfig, SequenceConfig
+from loamsift.config import SOURCE_CATALOG, CorpusConfig, SamplingConfig, SelectionConfig, SequenceConfig
 from loamsift.functions.text import content_hash
 from loamsift.functions.stopwords import ENGLISH
 from loamsift.operators import exact, fuzzy, prep, quality, sampling, selection, stats, tfidf
@@ -79,6 +79,19 @@ def scan_source(spark, folder):
     return scanned.select("domain", "doc_id", F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"))
 
 
+@query
+def file_positions(spark, folder):
+    """A source of JSON files without ids, some large and some small: rows are numbered file by file."""
+    docs, path = tables.table(spark, folder, "documents"), new_path(spark, "unnumbered")
+    # Files 0 to 2 by path, the middle one by far the largest.
+    file = F.when(F.col("lang") == "en", 1).when(F.col("lang") < "en", 0).otherwise(2)
+    rows = docs.select(file.alias("file"), "doc_id", "text")
+    rows.repartition(1, "file").sortWithinPartitions("file", "doc_id").drop("doc_id").write.partitionBy("file").json(path)
+    spec = replace(SOURCE_CATALOG[0], path=path)
+    found = src.keyed(src.read_source(spark, spec))
+    return found.select("doc_id", F.md5("text").alias("text_md5"))
+
+
 def _per_domain(spark, folder, take) -> DataFrame:
     """``take`` of each domain, out of one written scan of the table."""
     docs = stage(_texts(spark, folder).select("doc_id", "text", "domain"), "scanned")
@@ -126,13 +139,13 @@ def ingest_sources(spark, folder):
 
 @query
 def ingest_overlapping(spark, folder):
-    """Sources whose ids overlap, and one without ids, numbered anew, then processed."""
+    """Sources whose ids overlap, and one without ids, numbered anew, then both kinds of duplicates dropped."""
     scanned, specs = {"web": _texts(spark, folder).withColumn("domain", F.lit("web"))}, [SOURCE_CATALOG[0]]
     for spec, id_column in tables.TABLE_SOURCES:
         rows = tables.table(spark, folder, spec.dataset)
         scanned[spec.domain] = src.scan(rows, spec, None if spec.dataset == "conversations" else id_column)
         specs.append(spec)
-    cfg = CorpusConfig(sources=tuple(replace(spec, max_documents=1_000_000_000) for spec in specs), dedup=DedupConfig(fuzzy=False))
+    cfg = CorpusConfig(sources=tuple(replace(spec, max_documents=1_000_000_000) for spec in specs))
     return corpus.process(corpus.ingest(scanned, cfg), cfg).select("doc_id", "domain", "hash_id")
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from loamsift.config import IngestConfig, SourceSpec
 from loamsift.functions.seeded import uniform
@@ -14,6 +15,7 @@ from loamsift.operators.ranking import add_rank
 from loamsift.operators.staging import stage
 
 MAX_SINGLE_MERGE = 100_000
+MAX_BROADCAST_SPLITS = 100_000
 
 
 def scan(df: DataFrame, spec: SourceSpec, id_column: str | None = "doc_id") -> DataFrame:
@@ -46,13 +48,35 @@ def read_source(spark: SparkSession, spec: SourceSpec, id_column: str = "doc_id"
 
 
 def keyed(df: DataFrame) -> DataFrame:
-    """``df`` with an id in every row: its own, or without any the position in its files."""
+    """``df`` with an id in every row: its own, or without any its position in its files."""
     known = df.agg(F.count("doc_id").alias("ids"), F.count("*").alias("rows")).first()
     if known["ids"] == known["rows"]:
         return df
     if known["ids"]:
         raise ValueError("some rows of a source have an id and some have none")
-    return stage(df.withColumn("doc_id", F.monotonically_increasing_id()), "positions")
+    return positions(df)
+
+
+def positions(df: DataFrame) -> DataFrame:
+    """``df`` with its rows numbered from 0 file by file, by path, and in each file from its beginning.
+
+    Spark reads large files first and cuts them into splits, so the order of its partitions says nothing.
+    A row's place is known within its split, and the splits (one row each) are put in order by path and
+    offset: the same numbers come out whatever the size of files and splits. A frame that isn't read from
+    files is numbered in the order of its partitions.
+    """
+    try:
+        placed = df.withColumns({"_file": F.col("_metadata.file_path"), "_split": F.col("_metadata.file_block_start")})
+    except AnalysisException:
+        placed = df.withColumns({"_file": F.lit(""), "_split": F.spark_partition_id().cast("bigint")})
+    placed = stage(placed.withColumn("_place", F.monotonically_increasing_id()), "placed")
+    splits = stage(placed.groupBy("_file", "_split").agg(F.min("_place").alias("_first"), F.count("*").alias("_rows")), "splits")
+    before = Window.orderBy("_file", "_split").rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.select("_file", "_split", (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_start"))
+    if splits.count() <= MAX_BROADCAST_SPLITS:
+        starts = F.broadcast(starts)
+    numbered = placed.join(starts, ["_file", "_split"]).withColumn("doc_id", (F.col("_place") + F.col("_start")).cast("bigint"))
+    return numbered.select(*df.columns)
 
 
 def check_ids(df: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from loamsift.sources import documents, tables
 # The slow ones are run at a larger scale by check_oracle.py.
 QUICK = [
     "source_catalog", "ingest_sources", "heuristic_filters", "annotate_quality", "ngram_signature", "exact_dup_audit",
-    "exact_dedup_incremental", "fuzzy_matches", "hybrid_select", "dsir_select_per_source", "unimax_batches",
+    "file_positions", "exact_dedup_incremental", "fuzzy_matches", "hybrid_select", "dsir_select_per_source", "unimax_batches",
     "attribute_batch", "training_sequences", "stream_exact_dedup", "stream_annotate", "stream_dedup_batches",
 ]
 
@@ -138,6 +138,34 @@ def test_overlapping_and_missing_ids(spark, raw_of):
         documents.keyed(frames["web"].unionByName(frames["news"]))
 
 
+@pytest.mark.parametrize("split_bytes", ["64m", "700", "90"])
+def test_positions_follow_the_files(spark, tmp_path, split_bytes):
+    """The largest file is read first and cut up, and still its rows come after those of the file before it."""
+    sizes = {"part-0": 2, "part-1": 50, "part-2": 5}
+    for name, rows in sizes.items():
+        (tmp_path / f"{name}.json").write_text("".join(json.dumps({"text": f"{name} row {i}"}) + "\n" for i in range(rows)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    try:
+        spec = SourceSpec("web", "made", None, "train", "text", 1.0, 100, path=str(tmp_path))
+        numbered = documents.keyed(documents.read_source(spark, spec))
+        assert numbered.columns == ["doc_id", "text", "domain", "source", "language", "title"]
+        got = [(r["doc_id"], r["text"]) for r in numbered.orderBy("doc_id").collect()]
+        raw = corpus.ingest({"web": documents.read_source(spark, spec).where("NOT text LIKE '% 3'")})
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == list(enumerate(f"{name} row {i}" for name, rows in sizes.items() for i in range(rows)))
+    assert raw.count() == 0  # three words a row are too few to be ingested
+
+
+def test_the_older_of_two_files_keeps_a_shared_text(spark, tmp_path):
+    text = " ".join(f"w{i}" for i in range(30))
+    (tmp_path / "a.json").write_text(json.dumps({"text": text, "source": "old"}) + "\n")
+    (tmp_path / "b.json").write_text("".join(json.dumps({"text": t, "source": "new"}) + "\n" for t in [text] + [f"{text} x{i} " * 2 for i in range(40)]))
+    spec = SourceSpec("web", "made", None, "train", "text", 1.0, 100, path=str(tmp_path))
+    kept = exact.exact_dedup(documents.keyed(documents.read_source(spark, spec)))
+    assert [r["source"] for r in kept.where(F.col("text") == text).collect()] == ["old"] and kept.count() == 41
+
+
 def test_dedup_switches_and_null_domains(raw_of):
     from loamsift.config import CorpusConfig, DedupConfig
     from loamsift.operators import stats

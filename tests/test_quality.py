@@ -25,12 +25,12 @@ def varied(n, length=5):
     return " ".join(f"{i:0{length}d}".translate(str.maketrans("0123456789", "abcdefghij")) for i in range(n))
 
 
-def test_demo_documents(raw_of):
+def test_short_documents(raw_of):
     from loamsift.config import CorpusConfig, DedupConfig
     from loamsift.plans import corpus
 
     good = "The river rises every spring and floods the lower meadows. Herons come back to nest there."
-    raw = raw_of([(good, "web", "high"), ("wet feet again no boots lost", "web", "low"), (good, "web", "high")])
+    raw = raw_of([(good, "web", "high"), ("ferry bicycle marble onion seven lantern", "web", "low"), (good, "web", "high")])
     rows = corpus.process(raw, CorpusConfig(dedup=DedupConfig())).orderBy("doc_id").collect()
     assert [r["doc_id"] for r in rows] == [0, 1]
     assert [r["quality_class"] for r in rows] == ["low", "low"]

@@ -13,11 +13,13 @@ from loamsift.operators import selection, tfidf
 from loamsift.operators.ranking import add_rank, top_fraction
 from loamsift.schemas import PROCESSED
 
-DEMO = [
-    ("Careful harbour report with steady measurements and clear tables.", "high", "web"),
-    ("Short harbour report with steady notes.", "medium", "web"),
-    ("harbour closed no notes.", "low", "web"),
-    ("Second harbour report with careful measurements.", "high", "books"),
+# Two words that go together ("tide tables", "moon rises"), some alone, two documents of the target class.
+TEXTS = [
+    ("tide tables moon tide", "high", "books"),
+    ("moon rises late tonight", "low", "news"),
+    ("tide tables sold nightly", "medium", "web"),
+    ("the tide clock: moon rises", "medium", "code"),
+    ("moon rises, tide tables, moon rises", "high", "academic"),
 ]
 
 
@@ -63,21 +65,21 @@ def scores(targets, docs, max_features=10_000):
     return [round(sum(x * w[t] for t, x in vector(d).items()), 6) for d in docs], vocab
 
 
-def test_demo_target_takes_in_medium(processed_of):
-    target = selection.target_docs(processed_of(DEMO))
-    assert sorted(r["doc_id"] for r in target.collect()) == [0, 1, 3]
+def test_few_targets_take_in_medium(processed_of):
+    target = selection.target_docs(processed_of(TEXTS))
+    assert sorted(r["doc_id"] for r in target.collect()) == [0, 2, 3, 4]
     assert not selection.enough_targets(target)
-    assert selection.hybrid_select(processed_of(DEMO)).count() == 4  # too few targets: all pass
+    assert selection.hybrid_select(processed_of(TEXTS)).count() == 5  # too few targets: all pass
 
 
 def test_medium_target_counts_itself_twice(processed_of):
     cfg = SelectionConfig(target_class="medium")
-    assert selection.target_docs(processed_of(DEMO), cfg).count() == 2
+    assert selection.target_docs(processed_of(TEXTS), cfg).count() == 4
 
 
 @pytest.mark.parametrize("max_features", [10_000, 12])
 def test_scores_match_plain_python(processed_of, max_features):
-    rows = DEMO * 3 + [("unrelated zebra words entirely", "low", "news"), ("", "low", "code")]
+    rows = TEXTS * 3 + [("unrelated zebra words entirely", "low", "news"), ("", "low", "code")]
     processed = processed_of(rows)
     cfg = SelectionConfig(max_features=max_features)
     targets = [t for t, q, _ in rows if q == "high"] + [t for t, q, _ in rows if q == "medium"]
@@ -92,7 +94,7 @@ def test_scores_match_plain_python(processed_of, max_features):
 
 
 def test_hybrid_keeps_the_floor_of_the_rate_in_dense_ranks(processed_of):
-    rows = DEMO * 6
+    rows = TEXTS * 6
     selected = selection.hybrid_select(processed_of(rows)).orderBy("selection_rank").collect()
     assert [r["selection_rank"] for r in selected] == list(range(int(len(rows) * 0.95)))
     order = [(-r["selection_score"], r["doc_id"]) for r in selected]
