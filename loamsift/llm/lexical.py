@@ -5,8 +5,9 @@ there are at most ``MAX_TERMS`` of them, otherwise all. Documents are range-part
 similarity (signs of a random projection of their terms, so near copies lie together) and cut into
 index shards of bounded size, one row each. Within a shard the posting list of every term is
 clustered by document similarity: documents of the list go to the nearest of evenly spaced centres,
-and clusters are cut into blocks. A block stores its documents and the coordinatewise maximum of
-their term impacts (in steps of ``STEP``, rounded up, so it is never too small).
+and clusters are cut into blocks. A block stores its documents and, if they are more than ``DIRECT``,
+the coordinatewise maximum of their term impacts (in steps of ``STEP``, rounded up, so it is never too
+small).
 
 A search goes through shards with a block of queries. The sum of a query's weights times a block's
 maxima bounds the score of all its documents; a block is skipped only if that bound is below the
@@ -35,12 +36,12 @@ from loamsift.operators.staging import new_path, stage
 TOP = 10
 MAX_TERMS = 1 << 20  # hashes sent to every task: 8 MB
 QUERY_TERMS = 1 << 18  # terms of the queries that one job works off
-SHARD_DOCS = 2048
-SHARD_POSTINGS = 400_000
-BLOCK_DOCS = 32
+SHARD_DOCS = 4096
+SHARD_POSTINGS = 800_000
+BLOCK_DOCS = 128
+DIRECT = 8  # a block of so few documents is scored rather than bounded
 STEP = 4096  # impacts are below 1,000,000, so a byte is enough
-COLUMNS = 4096  # terms looked at together while maxima are taken
-ROWS = 8192
+COLUMNS = 2048  # terms looked at together while maxima are taken
 CODE_BITS = 16
 PROJECTION = 64
 DF_CELLS = 1 << 16  # rough document frequencies, for similarity only
@@ -120,6 +121,17 @@ def _rarity(hashes: np.ndarray, frequency: np.ndarray, rows: int) -> np.ndarray:
     return np.log1p(rows / np.maximum(1, frequency[hashes.view(np.uint64) % np.uint64(DF_CELLS)])).astype(np.float32)
 
 
+def _small(n: int) -> str:
+    """A kind of number that holds everything below ``n``."""
+    return "<u2" if n <= 1 << 16 else "<u4"
+
+
+def _ranges(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of the ranges, one after another."""
+    upto = np.cumsum(sizes)
+    return np.repeat(begins - (upto - sizes), sizes) + np.arange(upto[-1] if len(upto) else 0)
+
+
 def _blocks(lists: _Lists, frequency: np.ndarray, rows: int) -> dict:
     """The row of a shard: posting lists in blocks of similar documents, and the maxima of each block."""
     n_docs, n_terms = len(lists.doc_ids), len(lists.vocabulary)
@@ -143,31 +155,34 @@ def _blocks(lists: _Lists, frequency: np.ndarray, rows: int) -> dict:
         own = lists.doc[by_term[list_ptr[term] : list_ptr[term + 1]]]
         sizes = [len(own)]
         if len(own) > BLOCK_DOCS:
-            centres = own[:: BLOCK_DOCS]
-            nearest = np.argmax(point[own] @ point[centres].T, axis=1)
+            nearest = np.argmax(point[own] @ point[own[:: BLOCK_DOCS]].T, axis=1)
             own = own[np.argsort(nearest, kind="stable")]
-            sizes = [
-                min(BLOCK_DOCS, size - at) for size in np.bincount(nearest).tolist() for at in range(0, size, BLOCK_DOCS)
-            ]
+            sizes = [min(BLOCK_DOCS, size - at) for size in np.bincount(nearest).tolist() for at in range(0, size, BLOCK_DOCS)]
         members.append(own), block_sizes.extend(sizes), block_term.extend([term] * len(sizes))
     members, block_ptr = np.concatenate(members), np.concatenate([[0], np.cumsum(block_sizes)])
-    found = [(np.zeros(0, np.int64),) * 3]
+    bounded = np.flatnonzero(np.array(block_sizes) > DIRECT).tolist()
+    max_ptr, max_blocks, max_values = [np.zeros(1, np.int64)], [], []
     for low in range(0, n_terms, COLUMNS):
-        table, begin = dense(low), 0
-        while begin < len(block_sizes):
-            end = max(begin + 1, int(np.searchsorted(block_ptr, block_ptr[begin] + ROWS, "right")) - 1)
-            most = np.maximum.reduceat(table[members[block_ptr[begin] : block_ptr[end]]], block_ptr[begin:end] - block_ptr[begin], axis=0)
-            block, column = np.nonzero(most)
-            found.append((column + low, block + begin, most[block, column]))
-            begin = end
-    column, block, most = (np.concatenate(x) for x in zip(*found))
-    order = np.lexsort((block, column))
+        table = dense(low)
+        columns, blocks, values = [], [], []
+        for block in bounded:
+            most = table[members[block_ptr[block] : block_ptr[block + 1]]].max(axis=0)
+            columns.append(np.flatnonzero(most).astype(np.uint16))
+            blocks.append(np.full(len(columns[-1]), block, np.uint32))
+            values.append(most[columns[-1]])
+        if columns:
+            columns, blocks, values = np.concatenate(columns), np.concatenate(blocks), np.concatenate(values)
+            order = np.argsort(columns, kind="stable")
+            max_ptr.append(max_ptr[-1][-1] + np.cumsum(np.bincount(columns, minlength=table.shape[1])))
+            max_blocks.append(blocks[order]), max_values.append(values[order])
+        else:
+            max_ptr.append(np.repeat(max_ptr[-1][-1], table.shape[1]))
     return {
         "doc_ids": lists.doc_ids, "vocabulary": lists.vocabulary.astype("<i8"), "doc_ptr": lists.doc_ptr.astype("<i8"),
-        "doc_terms": lists.term.astype("<u4"), "impacts": lists.impact.astype("<u4"), "block_term": np.array(block_term, "<u4"),
-        "block_ptr": block_ptr.astype("<u4"), "members": members.astype("<u2"),
-        "max_ptr": np.searchsorted(column[order], np.arange(n_terms + 1)).astype("<i8"),
-        "max_blocks": block[order].astype("<u4"), "max_values": most[order].astype(np.uint8),
+        "doc_terms": lists.term.astype(_small(n_terms)), "impacts": lists.impact.astype("<u4"), "block_term": np.array(block_term, "<u4"),
+        "block_ptr": block_ptr.astype("<u4"), "members": members.astype("<u2"), "max_ptr": np.concatenate(max_ptr).astype("<i8"),
+        "max_blocks": np.concatenate([np.zeros(0, np.uint32), *max_blocks]).astype(_small(len(block_term))),
+        "max_values": np.concatenate([np.zeros(0, np.uint8), *max_values]),
     }
 
 
@@ -225,14 +240,15 @@ class Shard:
 
     def __init__(self, row: dict):
         kinds = {
-            "vocabulary": "<i8", "doc_ptr": "<i8", "doc_terms": "<u4", "impacts": "<u4", "block_term": "<u4", "block_ptr": "<u4",
-            "members": "<u2", "max_ptr": "<i8", "max_blocks": "<u4", "max_values": "u1",
+            "vocabulary": "<i8", "doc_ptr": "<i8", "doc_terms": _small(len(row["vocabulary"]) // 8), "impacts": "<u4", "block_term": "<u4",
+            "block_ptr": "<u4", "members": "<u2", "max_ptr": "<i8", "max_blocks": _small(len(row["block_term"]) // 4), "max_values": "u1",
         }
         self.doc_ids = row["doc_ids"]
         for name, kind in kinds.items():
             setattr(self, name, np.frombuffer(row[name], kind))
         self.members = self.members.astype(np.int64)
         self.block_ptr = self.block_ptr.astype(np.int64)
+        self.unbounded = np.flatnonzero(np.diff(self.block_ptr) <= DIRECT)
         self.first_block = np.searchsorted(self.block_term, np.arange(len(self.vocabulary) + 1))
         self.strongest = np.zeros(len(self.vocabulary), np.int64)
         np.maximum.at(self.strongest, self.doc_terms, self.impacts)
@@ -256,16 +272,18 @@ class Shard:
         for term, weight in zip(at.tolist(), weights.tolist()):
             own = slice(self.max_ptr[term], self.max_ptr[term + 1])
             bounds[self.max_blocks[own]] += weight * STEP * self.max_values[own].astype(np.int64)
-        blocks = np.concatenate([np.arange(self.first_block[term], self.first_block[term + 1]) for term in at[needed]])
+        bounds[self.unbounded] = 1 << 62
+        first = self.first_block[at[needed]]
+        blocks = _ranges(first, self.first_block[at[needed] + 1] - first)
         blocks = blocks[np.argsort(-bounds[blocks], kind="stable")]
-        limits, seen, turn, step = bounds[blocks], np.zeros(len(self.doc_ids), bool), 0, 2
+        limits, seen, turn, step = bounds[blocks], np.zeros(len(self.doc_ids), bool), 0, 16
         self.weight[at] = weights
         while turn < len(blocks) and limits[turn] >= least:
             now = blocks[turn : turn + step][limits[turn : turn + step] >= least]
-            docs = np.unique(np.concatenate([self.members[self.block_ptr[b] : self.block_ptr[b + 1]] for b in now]))
-            docs = docs[~seen[docs]]
-            seen[docs] = True
-            turn, step = turn + len(now), min(64, 2 * step)
+            before = seen.copy()
+            seen[self.members[_ranges(self.block_ptr[now], self.block_ptr[now + 1] - self.block_ptr[now])]] = True
+            docs = np.flatnonzero(seen & ~before)
+            turn, step = turn + len(now), min(256, 2 * step)
             self.scored += len(now)
             if not len(docs):
                 continue
@@ -280,10 +298,9 @@ class Shard:
         return best
 
     def _scores(self, docs: np.ndarray) -> np.ndarray:
-        begin, size = self.doc_ptr[docs], self.doc_ptr[docs + 1] - self.doc_ptr[docs]
-        upto = np.cumsum(size)
-        at = np.repeat(begin - (upto - size), size) + np.arange(upto[-1])
-        return np.add.reduceat(self.weight[self.doc_terms[at]] * self.impacts[at].astype(np.int64), upto - size)
+        size = self.doc_ptr[docs + 1] - self.doc_ptr[docs]
+        at = _ranges(self.doc_ptr[docs], size)
+        return np.add.reduceat(self.weight[self.doc_terms[at]] * self.impacts[at].astype(np.int64), np.cumsum(size) - size)
 
 
 def term_weights(rows: DataFrame, terms: np.ndarray, documents: int) -> np.ndarray:

@@ -69,14 +69,20 @@ def test_blocks_and_bounds_change_nothing(spark, monkeypatch):
     assert found(got) == ranked(docs, items)
 
 
-def test_blocks_are_skipped_and_maxima_are_exact(spark):
+def test_blocks_are_skipped_and_maxima_are_exact(spark, monkeypatch):
     docs = corpus(3, 1500)
     rows = stage(lexical.forward(spark.createDataFrame(docs, "doc_id bigint, text string"), "doc_id"), "t")
     index, sizes = lexical.build_index(rows)
     assert sizes == (len(docs), sum(len(terms(t)) for _, t in docs))
     shards = [lexical.Shard(r.asDict()) for r in index.collect()]
     assert sum(len(s.doc_ids) for s in shards) == len(docs)
-    for s in shards:
+    # The same on the driver, with blocks and columns cut more finely than in the tasks.
+    monkeypatch.setattr(lexical, "BLOCK_DOCS", 32)
+    monkeypatch.setattr(lexical, "COLUMNS", 100)
+    own = [(r.doc_id, r.n, np.array(r.terms, np.int64), np.array(r.counts, np.int64)) for r in rows.orderBy("doc_id").limit(700).collect()]
+    fine = lexical._blocks(lexical._Lists(own, sizes), np.ones(lexical.DF_CELLS, np.int64), sizes[0])
+    fine = lexical.Shard({name: x if name == "doc_ids" else x.tobytes() for name, x in fine.items()})
+    for s, most_docs in [*((s, 128) for s in shards), (fine, 32)]:
         most = np.zeros((len(s.block_term), len(s.vocabulary)), np.int64)
         own = np.zeros((len(s.doc_ids), len(s.vocabulary)), np.int64)
         for d in range(len(s.doc_ids)):
@@ -87,7 +93,8 @@ def test_blocks_are_skipped_and_maxima_are_exact(spark):
         lists = collections.defaultdict(list)
         for b, t in enumerate(s.block_term.tolist()):
             members = s.members[s.block_ptr[b] : s.block_ptr[b + 1]]
-            assert 0 < len(members) <= lexical.BLOCK_DOCS and (most[b] == own[members].max(0)).all()
+            assert 0 < len(members) <= most_docs
+            assert (most[b] == (own[members].max(0) if len(members) > lexical.DIRECT else 0)).all()
             lists[t].extend(members.tolist())
         assert all(sorted(lists[t]) == np.flatnonzero(own[:, t]).tolist() for t in range(len(s.vocabulary)))
     query = lexical.forward(spark.createDataFrame([(1, docs[40][1])], "item_id bigint, text string"), "item_id").first().terms
