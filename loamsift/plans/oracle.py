@@ -182,6 +182,19 @@ _CTES: dict[str, str] = {
         FROM walk w JOIN ordered ON ordered.o = w.o + 1))""",
     "gone": "gone AS (SELECT d AS doc_id, m AS kept_id FROM walk WHERE m IS NOT NULL)",
     "done": "done AS (SELECT p.* FROM pr p ANTI JOIN gone USING (doc_id))",
+    # a trained bigram model of the target documents
+    "bg": f"""bg AS (
+      SELECT doc_id, unnest(list_concat([' <'], w[1:len(w) - 1])) AS v, unnest(w) AS w
+      FROM (SELECT doc_id, list_concat({_words("lower(coalesce(text, ''))")}, [' >']) AS w FROM pr))""",
+    "tb": "tb AS (SELECT v, w, count(*) AS c FROM bg SEMI JOIN tgt USING (doc_id) GROUP BY v, w)",
+    "cx": "cx AS (SELECT v, sum(c) AS t, count(*) AS f FROM tb GROUP BY v)",
+    "wd": """wd AS (
+      SELECT w, (count(*) - 75e-2) / (SELECT count(*) FROM tb)
+        + 75e-2 * count(*) OVER () / (SELECT count(*) FROM tb) / (count(*) OVER () + 1) AS p FROM tb GROUP BY w)""",
+    "bp": """bp AS (
+      SELECT doc_id, count(*) AS n_tokens, count(c) AS n_known, -sum(log10(coalesce((c - 75e-2) / t, 0) + coalesce(75e-2 * f / t, 1)
+        * coalesce(p, (SELECT 75e-2 * count(*) / (SELECT count(*) FROM tb) / (count(*) + 1) FROM wd)))) / count(*) AS l
+      FROM bg LEFT JOIN tb USING (v, w) LEFT JOIN cx USING (v) LEFT JOIN wd USING (w) GROUP BY doc_id)""",
     # selection
     "tgt": """tgt AS (
       SELECT doc_id, text FROM pr WHERE quality_class = 'high'
@@ -254,6 +267,7 @@ _NEEDS: dict[str, tuple[str, ...]] = {
     "pre": ("docs", "catalog"), "sam": ("pre",), "samst": ("sam",),
     "grams": ("ex",), "posts": ("grams",), "freq": ("posts",), "pairs": ("freq",), "ordered": ("pairs",),
     "walk": ("ordered",), "gone": ("walk",), "done": ("pr", "gone"),
+    "bg": ("pr",), "tb": ("bg", "tgt"), "cx": ("tb",), "wd": ("tb",), "bp": ("bg", "cx", "wd"),
     "tgt": ("pr",), "toks": ("docs",), "tf": ("toks",), "vocab": ("tf", "tgt"), "vec": ("vocab", "pr"),
     "pt": ("vec", "tgt"), "ps": ("vec", "pr"), "imp": ("pt", "ps"), "dsir": ("imp",), "att": ("pr",),
     "hyb": ("dsir", "att"), "hsel": ("hyb",), "dps": ("vec",), "dsc": ("dps", "pt"),
@@ -444,6 +458,11 @@ FROM pr"""),
     lambda i: t[i] || ' ' || t[i + 1] || ' ' || t[i + 2])) AS g
   FROM (SELECT doc_id, {_words('lower(text)')} AS t FROM docs))"""),
     "content_hashes": "SELECT doc_id, md5(text) AS md5, sha256(text) AS sha256 FROM documents",
+    "bigram_model": _sql("cx wd", """SELECT 'pairs' AS part, count(*) AS rows, round(avg((c - 75e-2) / t), 6) AS mean FROM tb JOIN cx USING (v)
+UNION ALL SELECT 'contexts', count(*), round(avg(75e-2 * f / t), 6) FROM cx
+UNION ALL SELECT 'words', count(*), round(avg(p), 6) FROM wd"""),
+    "bigram_perplexity": _sql("bp", "SELECT doc_id, n_tokens, n_known, round(l, 6) AS log10_perplexity FROM bp"),
+    "bigram_filter": _sql("bp", "SELECT doc_id, domain FROM bp JOIN pr USING (doc_id) WHERE l <= log10(5000::DOUBLE)"),
     "exact_dedup": _sql("ex", "SELECT doc_id, domain, md5(text) AS hash_id, false AS is_duplicate FROM ex"),
     "exact_dedup_last": _sql("docs", """SELECT max(doc_id) AS doc_id, arg_max(domain, doc_id) AS domain, md5(text) AS text_md5
 FROM docs GROUP BY md5(text)"""),

@@ -14,7 +14,7 @@ from loamsift import schemas
 from loamsift.config import SOURCE_CATALOG, CorpusConfig, SamplingConfig, SelectionConfig, SequenceConfig
 from loamsift.functions.text import content_hash
 from loamsift.functions.stopwords import ENGLISH
-from loamsift.operators import exact, fuzzy, prep, quality, sampling, selection, stats, tfidf
+from loamsift.operators import bigrams, exact, fuzzy, prep, quality, sampling, selection, stats, tfidf
 from loamsift.operators.staging import new_path, stage
 from loamsift.plans import corpus
 from loamsift.sources import documents as src
@@ -339,6 +339,37 @@ def content_hashes(spark, folder):
     )
 
 
+def _bigram_model(spark, folder) -> tuple[DataFrame, bigrams.BigramModel]:
+    """A model of the target documents, beside all processed ones."""
+    processed = _processed(spark, folder)
+    return processed, bigrams.fit(selection.target_docs(processed))
+
+
+@query
+def bigram_model(spark, folder):
+    """Sizes of the fitted tables and the mean of their columns."""
+    _, model = _bigram_model(spark, folder)
+    parts = {"pairs": (model.pairs, "seen"), "contexts": (model.contexts, "back_off"), "words": (model.words, "chance")}
+    return src.union_all([
+        table.agg(F.count("*").alias("rows"), r6(F.avg(column)).alias("mean")).select(F.lit(name).alias("part"), "rows", "mean")
+        for name, (table, column) in parts.items()
+    ])
+
+
+@query
+def bigram_perplexity(spark, folder):
+    scores = bigrams.perplexity(*_bigram_model(spark, folder))
+    return scores.select("doc_id", "n_tokens", "n_known", r6("log10_perplexity").alias("log10_perplexity"))
+
+
+@query
+def bigram_filter(spark, folder):
+    """Documents under the trained model's threshold."""
+    processed, model = _bigram_model(spark, folder)
+    limit = CorpusConfig().quality.perplexity_threshold
+    return bigrams.perplexity_filter(processed, bigrams.perplexity(processed, model), limit).select("doc_id", "domain")
+
+
 # --- duplicates ------------------------------------------------------------------------
 
 
