@@ -5,9 +5,9 @@ there are at most ``MAX_TERMS`` of them, otherwise all. Documents are range-part
 similarity (signs of a random projection of their terms, so near copies lie together) and cut into
 index shards of bounded size, one row each. Within a shard the posting list of every term is
 clustered by document similarity: documents of the list go to the nearest of evenly spaced centres,
-and clusters are cut into blocks. A block stores its documents and, if they are more than ``DIRECT``,
-the coordinatewise maximum of their term impacts (in steps of ``STEP``, rounded up, so it is never too
-small).
+and clusters are cut into blocks. A block stores its documents and, in lists of more than ``DIRECT``
+documents, the coordinatewise maximum of their term impacts (in steps of ``STEP``, rounded up, so it
+is never too small).
 
 A search goes through shards with a block of queries. The sum of a query's weights times a block's
 maxima bounds the score of all its documents; a block is skipped only if that bound is below the
@@ -36,10 +36,10 @@ from loamsift.operators.staging import new_path, stage
 TOP = 10
 MAX_TERMS = 1 << 20  # hashes sent to every task: 8 MB
 QUERY_TERMS = 1 << 18  # terms of the queries that one job works off
-SHARD_DOCS = 4096
-SHARD_POSTINGS = 800_000
-BLOCK_DOCS = 128
-DIRECT = 8  # a block of so few documents is scored rather than bounded
+SHARD_DOCS = 2048
+SHARD_POSTINGS = 400_000
+BLOCK_DOCS = 256
+DIRECT = 32  # a list of so few documents is scored rather than bounded, as that is no more work
 STEP = 4096  # impacts are below 1,000,000, so a byte is enough
 COLUMNS = 2048  # terms looked at together while maxima are taken
 CODE_BITS = 16
@@ -160,7 +160,7 @@ def _blocks(lists: _Lists, frequency: np.ndarray, rows: int) -> dict:
             sizes = [min(BLOCK_DOCS, size - at) for size in np.bincount(nearest).tolist() for at in range(0, size, BLOCK_DOCS)]
         members.append(own), block_sizes.extend(sizes), block_term.extend([term] * len(sizes))
     members, block_ptr = np.concatenate(members), np.concatenate([[0], np.cumsum(block_sizes)])
-    bounded = np.flatnonzero(np.array(block_sizes) > DIRECT).tolist()
+    bounded = np.flatnonzero(np.diff(list_ptr)[block_term] > DIRECT).tolist()
     max_ptr, max_blocks, max_values = [np.zeros(1, np.int64)], [], []
     for low in range(0, n_terms, COLUMNS):
         table = dense(low)
@@ -232,7 +232,10 @@ def build_index(rows: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
     # Copies share a code; the id and the row number spread them over partitions.
     order = ["code", "doc_id", "_row"]
     placed = coded_rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    return stage(placed.select("doc_id", "n", "terms", "counts").mapInArrow(shards, INDEX), "op13_index"), sizes
+    path = new_path(rows.sparkSession, "op13_index")
+    # Maxima of neighbouring blocks are much alike, so a slower compression pays.
+    placed.select("doc_id", "n", "terms", "counts").mapInArrow(shards, INDEX).write.option("compression", "zstd").parquet(path)
+    return rows.sparkSession.read.schema(INDEX).parquet(path), sizes
 
 
 class Shard:
@@ -248,8 +251,9 @@ class Shard:
             setattr(self, name, np.frombuffer(row[name], kind))
         self.members = self.members.astype(np.int64)
         self.block_ptr = self.block_ptr.astype(np.int64)
-        self.unbounded = np.flatnonzero(np.diff(self.block_ptr) <= DIRECT)
         self.first_block = np.searchsorted(self.block_term, np.arange(len(self.vocabulary) + 1))
+        listed = np.diff(self.block_ptr[self.first_block])
+        self.unbounded = np.flatnonzero(listed[self.block_term] <= DIRECT)
         self.strongest = np.zeros(len(self.vocabulary), np.int64)
         np.maximum.at(self.strongest, self.doc_terms, self.impacts)
         self.weight = np.zeros(len(self.vocabulary), np.int64)

@@ -82,7 +82,8 @@ def test_blocks_are_skipped_and_maxima_are_exact(spark, monkeypatch):
     own = [(r.doc_id, r.n, np.array(r.terms, np.int64), np.array(r.counts, np.int64)) for r in rows.orderBy("doc_id").limit(700).collect()]
     fine = lexical._blocks(lexical._Lists(own, sizes), np.ones(lexical.DF_CELLS, np.int64), sizes[0])
     fine = lexical.Shard({name: x if name == "doc_ids" else x.tobytes() for name, x in fine.items()})
-    for s, most_docs in [*((s, 128) for s in shards), (fine, 32)]:
+    monkeypatch.undo()
+    for s, most_docs in [*((s, lexical.BLOCK_DOCS) for s in shards), (fine, 32)]:
         most = np.zeros((len(s.block_term), len(s.vocabulary)), np.int64)
         own = np.zeros((len(s.doc_ids), len(s.vocabulary)), np.int64)
         for d in range(len(s.doc_ids)):
@@ -90,11 +91,11 @@ def test_blocks_are_skipped_and_maxima_are_exact(spark, monkeypatch):
             own[d, s.doc_terms[at]] = -(-s.impacts[at].astype(np.int64) // lexical.STEP)
         for t in range(len(s.vocabulary)):
             most[s.max_blocks[s.max_ptr[t] : s.max_ptr[t + 1]], t] = s.max_values[s.max_ptr[t] : s.max_ptr[t + 1]]
-        lists = collections.defaultdict(list)
+        lists, held = collections.defaultdict(list), np.bincount(s.doc_terms)
         for b, t in enumerate(s.block_term.tolist()):
             members = s.members[s.block_ptr[b] : s.block_ptr[b + 1]]
             assert 0 < len(members) <= most_docs
-            assert (most[b] == (own[members].max(0) if len(members) > lexical.DIRECT else 0)).all()
+            assert (most[b] == (own[members].max(0) if held[t] > lexical.DIRECT else 0)).all()
             lists[t].extend(members.tolist())
         assert all(sorted(lists[t]) == np.flatnonzero(own[:, t]).tolist() for t in range(len(s.vocabulary)))
     query = lexical.forward(spark.createDataFrame([(1, docs[40][1])], "item_id bigint, text string"), "item_id").first().terms
