@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from loamsift.functions.text import content_hash
 from loamsift.operators.keyed_join import spread_join
+from loamsift.operators.seen import SeenHashes
 from loamsift.operators.staging import stage
 
 
@@ -63,3 +64,13 @@ def exact_dedup_incremental(batch: DataFrame, seen: DataFrame | None, hash_type:
     return batch.join(firsts.select("doc_id", "hash_id"), "doc_id").withColumn(
         "is_duplicate", F.lit(False)
     )
+
+
+def exact_dedup_with_store(batch: DataFrame, store: SeenHashes, number: int, hash_type: str = "md5") -> DataFrame:
+    """Survivors of ``batch`` given the batches before ``number`` in ``store``.
+
+    Add their ``hash_id`` to the store once they are written. Only hashes are compared; the text follows by id.
+    """
+    firsts = stage(first_ids(with_hash(batch, hash_type).select("doc_id", "hash_id")).select("doc_id", "hash_id"), "batch_firsts")
+    new = firsts.join(store.seen(firsts.select("hash_id"), number), "hash_id", "left_anti")
+    return batch.join(new.select("doc_id", "hash_id"), "doc_id").withColumn("is_duplicate", F.lit(False))

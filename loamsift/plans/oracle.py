@@ -472,6 +472,9 @@ FROM docs JOIN firsts ON h = md5(text)"""),
 FROM docs JOIN firsts ON h = md5(text) WHERE doc_id > f"""),
     "exact_dedup_incremental": _sql("docs catalog", """SELECT doc_id, hash_id, batch FROM (
   SELECT doc_id, md5(text) AS hash_id, i AS batch, row_number() OVER (PARTITION BY md5(text) ORDER BY i, doc_id) AS r
+  FROM docs JOIN catalog USING (domain)) WHERE r = 1"""),
+    "exact_dedup_store": _sql("docs catalog", """SELECT doc_id, hash_id, batch FROM (
+  SELECT doc_id, md5(text) AS hash_id, i AS batch, row_number() OVER (PARTITION BY md5(text) ORDER BY i, doc_id) AS r
   FROM docs JOIN catalog USING (domain)) WHERE r = 1"""),
     "shingle_profile": _sql("grams freq", """SELECT doc_id, n::INTEGER AS n_shingles, s::INTEGER AS n_shared,
   (CASE WHEN n = 0 THEN 0 ELSE greatest(s - ceil(0.6::DOUBLE * n - 1e-9) + 1, 0) END)::INTEGER AS n_prefix

@@ -15,6 +15,7 @@ from loamsift.config import SOURCE_CATALOG, CorpusConfig, SamplingConfig, Select
 from loamsift.functions.text import content_hash
 from loamsift.functions.stopwords import ENGLISH
 from loamsift.operators import bigrams, exact, fuzzy, prep, quality, sampling, selection, stats, tfidf
+from loamsift.operators.seen import SeenHashes
 from loamsift.operators.staging import new_path, stage
 from loamsift.plans import corpus
 from loamsift.sources import documents as src
@@ -410,6 +411,19 @@ def exact_dedup_incremental(spark, folder):
     return src.union_all(kept)
 
 
+@query
+def exact_dedup_store(spark, folder):
+    """The same batches against a written store of hashes."""
+    docs = _texts(spark, folder).select("doc_id", "text", "domain")
+    store, kept = SeenHashes(spark, new_path(spark, "seen")), []
+    for number, spec in enumerate(SOURCE_CATALOG):
+        batch = docs.where(F.col("domain") == spec.domain)
+        survivors = exact.exact_dedup_with_store(batch, store, number).select("doc_id", "hash_id", F.lit(number).alias("batch"))
+        kept.append(stage(survivors, "survivors"))
+        store.add(kept[-1], number)
+    return src.union_all(kept)
+
+
 @query
 def shingle_profile(spark, folder):
     """Per document: 3-grams, those other documents have too, and those used as join keys."""

@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from loamsift.config import QualityConfig
 from loamsift.operators import exact, quality
+from loamsift.operators.seen import SeenHashes
 from loamsift.sources.documents import length_filter, to_raw
 
 
@@ -25,18 +26,16 @@ def dedup_batches(stream: DataFrame, path: str, checkpoint: str, hash_type: str
     """Exact dedup batch by batch into ``path``: of the copies in a batch the one with the smallest
     id survives, unless an earlier batch, also of an earlier run, had that text.
 
-    The written survivors are the state, so it lies in the shared folder and takes no memory.
-    Each batch has its own folder and looks only at those before it: a replayed batch overwrites
-    its folder with the same rows.
+    Hashes seen lie in ``path/_seen`` and take no memory; a batch reads those files only that may hold its
+    own, so its work doesn't grow with the stream. A replayed batch overwrites its folder and its hashes
+    with the same rows.
     """
-    seen_schema = T.StructType([T.StructField("hash_id", T.StringType()), T.StructField("batch", T.LongType())])
 
     def keep_new(batch: DataFrame, number: int) -> None:
-        seen = None
-        if number > 0:
-            seen = batch.sparkSession.read.schema(seen_schema).parquet(path).where(F.col("batch") < number)
-        survivors = exact.exact_dedup_incremental(batch, seen, hash_type)
-        survivors.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        store = SeenHashes(batch.sparkSession, f"{path}/_seen")
+        folder = f"{path}/batch={number}"
+        exact.exact_dedup_with_store(batch, store, number, hash_type).write.mode("overwrite").parquet(folder)
+        store.add(batch.sparkSession.read.schema("hash_id string").parquet(folder), number)
 
     return (
         stream.writeStream.foreachBatch(keep_new)
