@@ -5,6 +5,10 @@ Words are runs of anything but the six ASCII white-space characters; only A-Z ar
 
 from __future__ import annotations
 
+import ctypes
+import functools
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 # The white space between words, as a regex class and as characters.
@@ -43,3 +47,23 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 def boxed(docs: DataFrame, *columns: Column | str) -> DataFrame:
     """Each row as one value ``_row`` beside working columns, whose names then can't clash with its own."""
     return docs.select(F.struct("*").alias("_row"), *columns)
+
+
+def releasing(batches_to_batches):
+    """The same generator of batches, whose worker gives memory back to the system once a task is done.
+
+    Workers are used again for other tasks, and what allocators keep for one kind of task is of no use to the next.
+    """
+
+    @functools.wraps(batches_to_batches)
+    def wrapped(batches):
+        try:
+            yield from batches_to_batches(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library keeps its own counsel
+                pass
+
+    return wrapped

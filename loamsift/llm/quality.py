@@ -26,6 +26,7 @@ from loamsift.llm.common import text_of
 from loamsift.operators.staging import stage
 
 MAX_ROWS = 6_000
+SAMPLE_FILES = 8
 THRESHOLD = 0.5
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -154,18 +155,23 @@ def _gradient(sample: DataFrame, weights: np.ndarray) -> tuple[float, np.ndarray
     """Loss and gradient at ``weights`` (the last one is the bias): one vector per task comes back."""
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        loss, slope = 0.0, np.zeros(2 * HALF + 1)
+        loss, slope, rows = 0.0, np.zeros(2 * HALF + 1), 0
         for batch in batches:
             index, value, at, label = _matrix(batch)
+            rows += len(label)
             logit = weights[-1] + wordhash.sums(weights[index] * value, at, float)
             loss += float(np.sum(np.logaddexp(0, logit) - label * logit))
             error = 1 / (1 + np.exp(-logit)) - label
             slope[:-1] += np.bincount(index, np.repeat(error, np.diff(at)) * value, 2 * HALF)
             slope[-1] += error.sum()
-        yield pa.record_batch([pa.array([loss]), pa.array([slope.tobytes()], pa.binary())], ["loss", "slope"])
+        if rows:
+            yield pa.record_batch([pa.array([loss]), pa.array([slope.tobytes()], pa.binary())], ["loss", "slope"])
 
-    found = sample.mapInArrow(part, "loss double, slope binary").collect()
-    return sum(row["loss"] for row in found), np.sum([np.frombuffer(row["slope"]) for row in found], axis=0)
+    total, slope = 0.0, np.zeros(2 * HALF + 1)
+    for row in sample.mapInArrow(part, "loss double, slope binary").collect():  # a row per file of the sample
+        total += row["loss"]
+        slope += np.frombuffer(row["slope"])
+    return total, slope
 
 
 def _minimise(evaluate, x: np.ndarray, rounds: int, memory: int = 8) -> np.ndarray:
@@ -218,7 +224,8 @@ def _calibrated(logit: np.ndarray, label: np.ndarray) -> tuple[float, float]:
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, threshold: float = THRESHOLD) -> dict | None:
     """Weights, bias and calibration; None if the labels hold fewer than two kinds."""
-    sample = stage(labelled_sample(docs, labels, max_rows), "op5_sample")
+    # In few files, whatever the scan's splits: each step of the descent takes a vector from every one.
+    sample = stage(labelled_sample(docs, labels, max_rows).repartition(SAMPLE_FILES), "op5_sample")
     training = sample.where("NOT held_out").select("label", "index", "value")
     kinds = {row["label"]: row["count"] for row in training.groupBy("label").count().collect()}
     if len(kinds) < 2:

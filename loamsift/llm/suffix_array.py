@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from loamsift.llm import wordhash
-from loamsift.llm.common import SPACE, text_of
+from loamsift.llm.common import SPACE, releasing, text_of
 from loamsift.operators.staging import stage
 
 MIN_WORDS = 50
@@ -79,6 +79,7 @@ def seed_places(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return places, seeds[places]
 
 
+@releasing
 def _seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in wordhash.slices(batch):
@@ -91,6 +92,7 @@ def _seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ], ["doc_id", "_text_hash", "seed", "place"])
 
 
+@releasing
 def _with_context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The words before and after each kept place: 32-bit hashes, nearest first, 0 beyond the text."""
     for batch in batches:
@@ -106,8 +108,9 @@ def _with_context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             def around(steps: np.ndarray) -> pa.Array:
                 there = (place + at[row])[:, None] + steps[None, :]
                 inside = (there >= at[row][:, None]) & (there < at[row + 1][:, None])
-                found = np.where(inside, short[np.clip(there, 0, max(0, len(short) - 1))], np.uint32(0))
-                return pa.array([x.tobytes() for x in found], pa.binary())
+                found = np.where(inside, short[np.clip(there, 0, max(0, len(short) - 1))], np.uint32(0)) if len(short) else there.astype(np.uint32)
+                ends = np.arange(len(found) + 1, dtype=np.int32) * np.int32(4 * len(steps))
+                return pa.Array.from_buffers(pa.binary(), len(found), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(found))])
 
             yield pa.record_batch([
                 part.column("doc_id").take(pa.array(row)), part.column("_text_hash").take(pa.array(row)), own.field("seed"), own.field("place"),
@@ -125,7 +128,12 @@ def _names(schema: str) -> list[str]:
 
 
 def _words_of(column: pa.Array, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(x.as_py() for x in column), np.uint32).reshape(len(column), width)
+    """The words of each row, as a view of the column's own buffer: all values are of one size."""
+    _, ends, data = column.buffers()
+    if not len(column):
+        return np.zeros((0, width), np.uint32)
+    first = int(np.frombuffer(ends, np.int32)[column.offset])
+    return np.frombuffer(data, np.uint8)[first : first + 4 * width * len(column)].view(np.uint32).reshape(len(column), width)
 
 
 def _documents(rows: pa.RecordBatch) -> np.ndarray:
@@ -134,6 +142,7 @@ def _documents(rows: pa.RecordBatch) -> np.ndarray:
     return wordhash.mixed(ids.view(np.uint64)) + rows.column("_text_hash").to_numpy().view(np.uint64)
 
 
+@releasing
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Neighbours within one sorted partition, the rows it offers to others, and the rows that need one of another partition."""
     kept = [batch for batch in batches if batch.num_rows]
@@ -154,7 +163,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = mine[seed[mine] == seed[other[mine]]]
         theirs = other[mine]
         left, right = _common(before[mine], before[theirs]), _common(after[mine], after[theirs])
-        found = rows.take(pa.array(mine))
+        found = rows.select(names[:4]).take(pa.array(mine))
         nothing = pa.nulls(len(mine), pa.binary())
         yield pa.record_batch([
             *[found.column(name) for name in names[:4]], nothing, nothing, pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32)),
@@ -234,6 +243,7 @@ def _windows_within(left, right):
     return F.when(low <= left, bits).otherwise(F.lit(0).cast("bigint"))
 
 
+@releasing
 def _window_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hashes of the windows at kept places that ``open`` has bits for."""
     for batch in batches:
@@ -245,7 +255,7 @@ def _window_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             asked = (rows.column("open").to_numpy()[:, None] >> (LEFT - starts)) & 1 > 0
             row, start = np.nonzero(asked & whole)
             hashes = wordhash.runs_of(words.ravel().astype(np.uint64), MIN_WORDS)[row * words.shape[1] + start]
-            own = rows.take(pa.array(row))
+            own = rows.select(["doc_id", "_text_hash", "place"]).take(pa.array(row))
             yield pa.record_batch([
                 own.column("doc_id"), own.column("_text_hash"), pa.array(_documents(rows).view(np.int64)[row]),
                 pa.array((own.column("place").to_numpy() + start - LEFT).astype(np.int32)), pa.array(hashes.view(np.int64)),
