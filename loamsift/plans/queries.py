@@ -14,7 +14,7 @@ from loamsift import schemas
 from loamsift.config import SOURCE_CATALOG, CorpusConfig, SamplingConfig, SelectionConfig, SequenceConfig
 from loamsift.functions.text import content_hash
 from loamsift.functions.stopwords import ENGLISH
-from loamsift.operators import bigrams, exact, fuzzy, prep, quality, sampling, selection, stats, tfidf
+from loamsift.operators import bigrams, edits, exact, fuzzy, prep, quality, sampling, selection, stats, tfidf
 from loamsift.operators.seen import SeenHashes
 from loamsift.operators.staging import new_path, stage
 from loamsift.plans import corpus
@@ -444,6 +444,13 @@ def fuzzy_dedup(spark, folder):
     return flagged.select("doc_id", "is_duplicate", "similar_to")
 
 
+@query
+def edit_matches(spark, folder):
+    """Each exact survivor that differs in few characters from an earlier kept one."""
+    docs = stage(_exact(spark, folder).select("doc_id", "text"), "exact_survivors")
+    return edits.edit_matches(docs).select("doc_id", "kept_id", r6("similarity").alias("similarity"))
+
+
 @query
 def process_dataset(spark, folder):
     return _flat_processed(corpus.process(_raw(spark, folder)))

@@ -40,11 +40,12 @@ def test_query_equals_sql(spark, db, name):
     assert got and got == rows_of(result.columns, result.fetchall())
 
 
-def test_every_query_has_sql():
+def test_queries_have_sql():
     from loamsift.plans.oracle import ORACLE
     from loamsift.plans.queries import QUERIES
 
-    assert set(QUERIES) == set(ORACLE)
+    # Edit distances of whole texts take SQL minutes; tests/test_edits.py compares them with a plain loop.
+    assert set(QUERIES) - set(ORACLE) == {"edit_matches"} and set(ORACLE) <= set(QUERIES)
     assert not set(entry.oracle_sql()) - set(entry.queries())
 
 
