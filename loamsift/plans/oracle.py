@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from loamsift.config import SOURCE_CATALOG
 from loamsift.functions.stopwords import ENGLISH
-from loamsift.plans.queries import DRAW_SIZE, EPOCH, MAX_LENGTH, PREFERENCES, TOXIC_LIMIT, UNIMAX_BATCHES, UNIMAX_SIZE
+from loamsift.plans.queries import DRAW_SIZE, EPOCH, MAX_LENGTH, PREFERENCES, SOME_BATCHES, TOXIC_LIMIT, UNIMAX_BATCHES, UNIMAX_SIZE
 
 # Character classes in the syntax of DuckDB's regex engine.
 _WS = (
@@ -376,6 +376,18 @@ _CODES = f"""list_concat([1], list_concat(list_transform(regexp_extract_all(lowe
 _PADDED = f"""list_concat(t[1:{MAX_LENGTH}], list_transform(range(greatest({MAX_LENGTH} - len(t), 0)), lambda i: 0))"""
 _CODED = f"(SELECT doc_id, {_CODES} AS t FROM docs)"
 
+_ORDER = f"""WITH RECURSIVE sizes AS (
+  SELECT n, a, ceil(n / a)::BIGINT AS b FROM (SELECT count(*) AS n, ceil(sqrt(count(*)))::BIGINT AS a FROM documents)
+), steps AS (
+  SELECT doc_id, k // b AS x, k % b AS y, 0 AS r FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS k FROM documents), sizes
+  UNION ALL
+  SELECT doc_id, x, (y + floor({_uniform(f"'42:{EPOCH}'", "r % 6", "'y'", "x")} * b)::BIGINT) % b, r + 1 FROM (
+    SELECT doc_id, (x + floor({_uniform(f"'42:{EPOCH}'", "r % 6", "'x'", "y")} * a)::BIGINT) % a AS x, y, r, b
+    FROM steps, sizes WHERE r % 6 > 0 OR r = 0 OR x * b + y >= n)
+), placed AS (
+  SELECT doc_id, x * b + y AS p FROM steps, sizes WHERE r > 0 AND r % 6 = 0 AND x * b + y < n
+)
+SELECT doc_id, p // 8 AS batch_id, (p % 8)::INTEGER AS place FROM placed"""
 _DOMAINS = ", ".join(f"('{s.domain}')" for s in SOURCE_CATALOG)
 _ORDER_OF_DOMAINS = f"list_position([{', '.join(repr(s.domain) for s in SOURCE_CATALOG)}], domain)"
 _SOURCE_COUNTS = "(SELECT domain, count(*) AS a FROM docs GROUP BY 1)"
@@ -551,6 +563,8 @@ FROM (SELECT doc_id, {_PADDED} AS p FROM {_CODED})"""),
 FROM (SELECT doc_id, len(t) AS n, {_PADDED} AS p FROM {_CODED})"""),
     "epoch_batches": f"""SELECT doc_id, r // 8 AS batch_id, (r % 8)::INTEGER AS place FROM (
   SELECT doc_id, row_number() OVER (ORDER BY {_uniform("'42'", str(EPOCH), 'doc_id')}, doc_id) - 1 AS r FROM documents)""",
+    "epoch_order": _ORDER,
+    "epoch_some_batches": f"{_ORDER} WHERE p // 8 BETWEEN {SOME_BATCHES[0]} AND {sum(SOME_BATCHES) - 1}",
     "eval_batches": """SELECT doc_id, r // 8 AS batch_id, (r % 8)::INTEGER AS place FROM (
   SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS r FROM documents)""",
     "token_counts": _sql("docs", """SELECT split, domain, count(*) AS documents, sum(n)::BIGINT AS tokens FROM (

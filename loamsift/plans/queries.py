@@ -14,7 +14,7 @@ from loamsift import schemas
 from loamsift.config import SOURCE_CATALOG, CorpusConfig, SamplingConfig, SelectionConfig, SequenceConfig
 from loamsift.functions.text import content_hash
 from loamsift.functions.stopwords import ENGLISH
-from loamsift.operators import bigrams, edits, exact, fuzzy, prep, quality, sampling, selection, stats, tfidf
+from loamsift.operators import bigrams, edits, exact, fuzzy, permutation, prep, quality, sampling, selection, stats, tfidf
 from loamsift.operators.seen import SeenHashes
 from loamsift.operators.staging import new_path, stage
 from loamsift.plans import corpus
@@ -31,6 +31,7 @@ UNIMAX_SIZE = 256
 UNIMAX_BATCHES = (64, 12)
 DRAW_SIZE = 2000
 EPOCH = 1
+SOME_BATCHES = (7, 12)  # the first and how many
 TOXIC_LIMIT = 0.1
 MAX_LENGTH = 2048
 
@@ -747,6 +748,18 @@ def epoch_batches(spark, folder):
     return prep.epoch_batches(_texts(spark, folder).select("doc_id"), EPOCH)
 
 
+@query
+def epoch_order(spark, folder):
+    """An epoch's batches by a keyed bijection of dense numbers."""
+    return permutation.epoch_order(*permutation.numbered(_texts(spark, folder)), EPOCH)
+
+
+@query
+def epoch_some_batches(spark, folder):
+    """A run of batches in the middle of the same epoch, looked up from their places."""
+    return permutation.epoch_batch(*permutation.numbered(_texts(spark, folder)), EPOCH, *SOME_BATCHES)
+
+
 @query
 def eval_batches(spark, folder):
     return prep.epoch_batches(_texts(spark, folder).select("doc_id"), shuffle=False)
