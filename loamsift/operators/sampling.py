@@ -8,8 +8,11 @@ alone, so a retried task or another partitioning gives the same batch.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from loamsift.config import SamplingConfig
 from loamsift.functions.lookup import weight_of
@@ -89,13 +92,13 @@ def _turns(length, index, n: int):
     return np.maximum(0, -(-(length - index) // n))
 
 
-def _stretches(counts: np.ndarray, size: int, n_batches: int, epochs: int) -> list[tuple[int, int, int]]:
+def _stretches(left: np.ndarray, size: int, n_batches: int) -> list[tuple[int, int, int]]:
     """(first batch, batches, length): a batch fills round by round until a group has none left for its turn.
 
     Batches stay alike until a group runs short, so there are at most two stretches a group.
     """
-    n, index = len(counts), np.arange(len(counts))
-    left, first, found = epochs * counts, 0, []
+    n, index = len(left), np.arange(len(left))
+    first, found = 0, []
     while n and first < n_batches:
         length = int(min(size, (left * n + index).min()))
         if length == 0:
@@ -114,6 +117,35 @@ def _stretches(counts: np.ndarray, size: int, n_batches: int, epochs: int) -> li
     return found
 
 
+def _slots(spark: SparkSession, stretches: list[tuple[int, int, int]], n: int) -> DataFrame:
+    """(batch_id, position, index, rank) of every place of the batches: which of a group's documents belongs there.
+
+    Places are numbers of one range. A task finds the stretches of its own and what earlier ones took of each
+    group from the list of stretches (a few numbers each, at most two stretches a group).
+    """
+    table = np.array(stretches, np.int64).reshape(-1, 3)
+    first, batches, length = table.T
+    begins = np.concatenate([[0], np.cumsum(batches * length)])
+
+    def placed(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, taken, index = -1, np.zeros(n, np.int64), np.arange(n)
+        for frame in frames:
+            ids = frame.column(0).to_numpy()
+            for stretch in np.unique(np.searchsorted(begins, ids, "right") - 1).tolist():
+                if stretch < at:
+                    at, taken = -1, np.zeros(n, np.int64)
+                for earlier in range(max(at, 0), stretch):
+                    taken += batches[earlier] * _turns(length[earlier], index, n)
+                at = stretch
+                own = ids[(ids >= begins[stretch]) & (ids < begins[stretch + 1])] - begins[stretch]
+                batch, position = own // length[stretch], own % length[stretch]
+                rank = taken[position % n] + batch * _turns(length[stretch], position % n, n) + position // n
+                columns = (first[stretch] + batch, position, position % n, rank)
+                yield pa.record_batch([pa.array(x) for x in columns], ["batch_id", "position", "index", "rank"])
+
+    return spark.range(int(begins[-1])).mapInArrow(placed, "batch_id bigint, position bigint, index bigint, rank bigint")
+
+
 def _shuffled(ids: DataFrame, by: str, groups: DataFrame, cfg: SamplingConfig) -> DataFrame:
     """(doc_id, index, rank): seeded order within each group, epoch after epoch.
 
@@ -139,39 +171,48 @@ def _with_groups(rows: DataFrame, groups: DataFrame, by: str) -> DataFrame:
     return rows.join(few, by) if few is not groups else spread_join(rows, groups, by, "doc_id")
 
 
-def unimax_batches(
-    df: DataFrame, size: int, n_batches: int = 1, cfg: SamplingConfig = SamplingConfig(), by: str = "domain"
-) -> DataFrame:
-    """(batch_id, position, doc_id, by): groups take turns, each in its own shuffled order.
+def unimax_run(
+    df: DataFrame, size: int, n_batches: int, cfg: SamplingConfig = SamplingConfig(), by: str = "domain", state: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The next ``n_batches`` batches (batch_id, position, doc_id, by), and the state to go on from.
 
-    The order goes on from batch to batch. A batch ends early when it is the turn of a group
-    that has gone through all its epochs.
+    Groups take turns, each in its own shuffled order, which goes on from batch to batch. A batch ends early
+    when it is the turn of a group that has gone through all its epochs. ``state`` is a written table
+    (by, taken, batches) of an earlier run over the same documents: the order goes on where that one stopped.
     """
     spark = df.sparkSession
     stats = stage(group_statistics(df, by), "groups")
     groups = fit_groups(stats, unimax_weights(stats, by), by)
-    # One number per group comes to the driver, never one per batch.
-    counts = groups.select("index", "count").orderBy("index").toArrow().column("count").to_numpy()
-    n, index, slots = len(counts), F.col("index"), None
-    used, used_here = F.lit(0).cast("bigint"), np.zeros(len(counts), np.int64)
-    for first, batches, length in _stretches(counts, size, n_batches, cfg.max_epochs):
-        turns = F.greatest(F.lit(0), F.ceil((F.lit(length) - index) / F.lit(n))).cast("bigint")
-        here = spark.range(batches * length).select(
-            (F.col("id") / length).cast("bigint").alias("_batch"), (F.col("id") % length).alias("position")
-        ).withColumn("index", F.col("position") % n)
-        here = here.select(
-            (F.col("_batch") + first).alias("batch_id"), "position", "index",
-            (used + F.col("_batch") * turns + F.floor(F.col("position") / n)).alias("rank"),
+    if state is None:
+        known = groups.select(by, "index", "count", F.lit(0).cast("bigint").alias("taken"), F.lit(0).cast("bigint").alias("batches"))
+    else:
+        known = groups.join(state, by, "left").select(
+            by, "index", "count", F.coalesce("taken", F.lit(0)).alias("taken"), F.coalesce("batches", F.lit(0)).alias("batches")
         )
-        slots = here if slots is None else slots.unionByName(here)
-        used = used + turns * batches
-        used_here = used_here + batches * _turns(length, np.arange(n), n)
-    if slots is None:
-        slots = spark.range(0).select(*[F.col("id").alias(x) for x in ("batch_id", "position", "index", "rank")])
-    needed = groups.select(by, "index", "count", used.alias("need"))
-    ranked = _shuffled(_named(df, by), by, needed, cfg)
-    found = slots.join(ranked, ["index", "rank"])
-    return found.select(F.col("batch_id").cast("int").alias("batch_id"), "position", "doc_id", by)
+    # Three numbers per group come to the driver, never one per batch.
+    rows = known.select("index", "count", "taken", "batches").orderBy("index").toArrow()
+    counts, taken = (rows.column(name).to_numpy() for name in ("count", "taken"))
+    n, before = len(counts), int(max(rows.column("batches").to_pylist(), default=0))
+    stretches = _stretches(cfg.max_epochs * counts - taken, size, n_batches)
+    used = taken.copy()
+    for _, batches, length in stretches:
+        used += batches * _turns(length, np.arange(n), n)
+    done = sum(batches for _, batches, _ in stretches)
+    after = spark.createDataFrame(pa.table({"index": np.arange(n), "taken": taken, "need": used}), "index bigint, taken bigint, need bigint")
+    after = stage(known.select(by, "index", "count").join(after, "index"), "round_robin")
+    ranked = _shuffled(_named(df, by), by, after.select(by, "index", "count", "need"), cfg)
+    ranked = ranked.join(_few(after.select("index", "taken")), "index").withColumn("rank", F.col("rank") - F.col("taken")).drop("taken")
+    found = _slots(spark, stretches, n).join(ranked, ["index", "rank"])
+    batch = (F.col("batch_id") + before).cast("int").alias("batch_id")
+    state = after.select(by, F.col("need").alias("taken"), F.lit(before + done).cast("bigint").alias("batches"))
+    return found.select(batch, "position", "doc_id", by), state
+
+
+def unimax_batches(
+    df: DataFrame, size: int, n_batches: int = 1, cfg: SamplingConfig = SamplingConfig(), by: str = "domain"
+) -> DataFrame:
+    """(batch_id, position, doc_id, by): the first batches of a round-robin order."""
+    return unimax_run(df, size, n_batches, cfg, by)[0]
 
 
 def unimax_batch(df: DataFrame, size: int, cfg: SamplingConfig = SamplingConfig(), by: str = "domain") -> DataFrame:

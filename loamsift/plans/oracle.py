@@ -543,6 +543,7 @@ SELECT language, round(pow(p, 1.3::DOUBLE) / sum(pow(p, 1.3::DOUBLE)) OVER (), 6
     "attribute_bucket_weights": _sql("bgrp", "SELECT bucket, round(w, 6) AS weight FROM bgrp"),
     "unimax_batch": _UNIMAX,
     "unimax_batches": _UNIMAX_BATCHES,
+    "unimax_continued": _UNIMAX_BATCHES,
     "alpha_batch": _draws("grp", f"SELECT domain, n, first_id, n * {_ALPHA_P} AS mass FROM grp", "docs", "domain", _N_DRAWS),
     "alpha_batch_documented": _draws("grp", f"SELECT domain, n, first_id, {_ALPHA_P} AS mass FROM grp", "docs", "domain", _N_DRAWS),
     "preference_batch": _draws("grp", f"SELECT domain, n, first_id, n * {_PREF_W} AS mass FROM grp", "docs", "domain", _N_DRAWS),

@@ -684,6 +684,17 @@ def unimax_batches(spark, folder):
     return sampling.unimax_batches(_texts(spark, folder), *UNIMAX_BATCHES, SamplingConfig(max_epochs=2))
 
 
+@query
+def unimax_continued(spark, folder):
+    """The same batches by three runs, each going on from the written state of the one before."""
+    docs, state, found = _texts(spark, folder), None, []
+    for n_batches in (1, 4, UNIMAX_BATCHES[1] - 5):
+        batches, state = sampling.unimax_run(docs, UNIMAX_BATCHES[0], n_batches, SamplingConfig(max_epochs=2), state=state)
+        state = stage(state, "round_robin_state")
+        found.append(batches)
+    return src.union_all(found)
+
+
 @query
 def alpha_batch(spark, folder):
     return sampling.alpha_batch(_texts(spark, folder), DRAW_SIZE)

@@ -1,6 +1,7 @@
 """Batches against going through the groups one document at a time."""
 
 import hashlib
+import time
 from collections import Counter
 
 import numpy as np
@@ -51,6 +52,32 @@ def test_demo_batch_stops_at_the_smallest_group(docs_of):
     assert Counter(r["domain"] for r in batch) == {"web": 2, "code": 2, "books": 1}
 
 
+def test_round_robin_goes_on_from_a_written_state(spark, docs_of, tmp_path):
+    domains = ["a"] * 12 + ["b"] * 5 + ["c"] * 3 + ["a"] * 6 + [None] * 4
+    docs, cfg, state, got = docs_of([(d, "x") for d in domains]), SamplingConfig(max_epochs=2), None, []
+    for number, batches in enumerate((1, 2, 1, 9)):
+        rows, state = sampling.unimax_run(docs, 7, batches, cfg, state=state)
+        got += [(r["batch_id"], r["position"], r["doc_id"]) for r in rows.collect()]
+        state.write.parquet(str(tmp_path / str(number)))  # as another session would read it
+        state = spark.read.parquet(str(tmp_path / str(number)))
+    assert sorted(got) == round_robin([d or "unknown" for d in domains], 7, 13, 2)
+
+
+def test_ten_thousand_groups_have_a_small_plan(spark):
+    """Groups of unequal sizes run short one by one; the plan doesn't grow with them."""
+    n = 10_000
+    docs = spark.range(n * 4).select(F.col("id").alias("doc_id"), (F.col("id") % n).cast("string").alias("domain"))
+    docs = docs.where(F.expr("doc_id < 30000 OR xxhash64(doc_id) % 3 = 0"))
+    begin = time.time()
+    rows, state = sampling.unimax_run(docs, 5000, 8)
+    plan = rows._jdf.queryExecution().toString()
+    assert time.time() - begin < 60 and len(plan) < 100_000
+    got = rows.groupBy("batch_id").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("d")).orderBy("batch_id").collect()
+    # Every batch begins with the first group: three are full, then it is soon the turn of a group without a fourth document.
+    assert [r["n"] for r in got[:3]] == [5000] * 3 and len(got) < 8 and all(r["n"] == r["d"] for r in got)
+    assert state.agg(F.sum("taken")).first()[0] == sum(r["n"] for r in got)
+
+
 @pytest.mark.parametrize("size,batches,epochs", [(7, 5, 1), (3, 9, 2), (100, 2, 3), (1, 4, 1)])
 def test_round_robin(docs_of, size, batches, epochs):
     domains = ["a"] * 12 + ["b"] * 5 + ["c"] * 2 + ["a"] * 6 + [None]
