@@ -145,9 +145,9 @@ def test_many_groups(spark):
 
 def test_many_batches_are_few_stretches():
     counts = np.array([4_000_000, 2_500_000, 9_000_000])
-    found = sampling._stretches(counts, 6, 10**6, 1)
+    found = sampling._stretches(counts, 6, 10**6)
     assert found == [(0, 10**6, 6)]
-    short = sampling._stretches(np.array([10, 3, 7]), 5, 50, 1)
+    short = sampling._stretches(np.array([10, 3, 7]), 5, 50)
     assert sum(k for _, k, _ in short) <= 50 and len(short) <= 12
 
 
