@@ -30,6 +30,8 @@ HEADLINE = (
 
 
 def main() -> None:
+    # Python workers import the library from here, wherever the benchmark is started.
+    os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, (os.path.dirname(os.path.abspath(__file__)), os.environ.get("PYTHONPATH"))))
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = (

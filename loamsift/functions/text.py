@@ -51,7 +51,8 @@ def symbol_chars(text: Column) -> Column:
 
 
 def digit_chars(text: Column) -> Column:
-    return _chars_inside(text, DIGIT)
+    # Most characters are settled by the first range; the long class is only asked beyond ASCII.
+    return F.regexp_count(text, F.lit(rf"{UNICODE}[0-9[\x{{B2}}-\x{{10FFFF}}&&[{DIGIT}]]]"))
 
 
 def uppercase_chars(text: Column) -> Column:

@@ -36,16 +36,19 @@ def with_text_stats(df: DataFrame, code: Column | None = None) -> DataFrame:
     is not repeated for every expression that needs its size. Rows where ``code`` holds get
     counts of source and comment lines too.
     """
-    split = df.withColumns({"_words": tx.words(F.col("text")), "_lines": tx.lines(F.col("text"))})
-    counts = {
-        "_n_chars": F.length("text"),
-        "_n_words": F.size("_words"),
-        "_n_unique_words": F.size(F.array_distinct("_words")),
-        "_n_lines": F.size("_lines"),
-        "_n_unique_lines": F.size(F.array_distinct("_lines")),
-        "_n_word_chars": tx.total_length(F.col("_words")),
-        "_n_symbols": tx.symbol_chars(F.col("text")),
-    }
+    split = df.withColumn("_lines", tx.lines(F.col("text")))
+    counts = {}
+    if "_n_words" not in df.columns:  # else they were counted on ingest
+        split = split.withColumn("_words", tx.words(F.col("text")))
+        counts = {
+            "_n_chars": F.length("text"),
+            "_n_words": F.size("_words"),
+            "_n_unique_words": F.size(F.array_distinct("_words")),
+            "_n_lines": F.size("_lines"),
+            "_n_unique_lines": F.size(F.array_distinct("_lines")),
+            "_n_word_chars": tx.total_length(F.col("_words")),
+            "_n_symbols": tx.symbol_chars(F.col("text")),
+        }
     if code is not None:
         nonblank, note = rf"{tx.UNICODE}[^{tx.WHITESPACE}]", rf"{tx.UNICODE}^[{tx.WHITESPACE}]*(#|//)|/\*"
         split = split.withColumn("_source", F.when(code, F.filter("_lines", lambda line: line.rlike(nonblank))))
@@ -157,7 +160,10 @@ def toxicity(text: Column, terms: tuple[str, ...] = TOXIC_TERMS) -> Column:
 
 
 def annotate(df: DataFrame, cfg: QualityConfig = QualityConfig()) -> DataFrame:
-    """Score every document and keep all of them: RAW plus dedup marks in, PROCESSED out."""
+    """Score every document and keep all of them: RAW plus dedup marks in, PROCESSED out.
+
+    Counts that ingest kept (``to_raw`` with ``keep_stats``) aren't made again.
+    """
     scored = (
         with_text_stats(df, F.col("domain") == "code")
         .withColumns({"_ppl": perplexity(cfg), "_checks": filter_results(F.col("domain"), cfg)})

@@ -127,6 +127,9 @@ def _slots(spark: SparkSession, stretches: list[tuple[int, int, int]], n: int) -
     first, batches, length = table.T
     begins = np.concatenate([[0], np.cumsum(batches * length)])
 
+    def turns(length, index):  # as ``_turns``, but sent with the function that tasks apply
+        return np.maximum(0, -(-(length - index) // n))
+
     def placed(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, taken, index = -1, np.zeros(n, np.int64), np.arange(n)
         for frame in frames:
@@ -135,11 +138,11 @@ def _slots(spark: SparkSession, stretches: list[tuple[int, int, int]], n: int) -
                 if stretch < at:
                     at, taken = -1, np.zeros(n, np.int64)
                 for earlier in range(max(at, 0), stretch):
-                    taken += batches[earlier] * _turns(length[earlier], index, n)
+                    taken += batches[earlier] * turns(length[earlier], index)
                 at = stretch
                 own = ids[(ids >= begins[stretch]) & (ids < begins[stretch + 1])] - begins[stretch]
                 batch, position = own // length[stretch], own % length[stretch]
-                rank = taken[position % n] + batch * _turns(length[stretch], position % n, n) + position // n
+                rank = taken[position % n] + batch * turns(length[stretch], position % n) + position // n
                 columns = (first[stretch] + batch, position, position % n, rank)
                 yield pa.record_batch([pa.array(x) for x in columns], ["batch_id", "position", "index", "rank"])
 

@@ -50,7 +50,7 @@ def _raw(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _exact(spark: SparkSession, folder: str) -> DataFrame:
-    return exact.exact_dedup(_raw(spark, folder))
+    return exact.exact_dedup(tables.raw_documents(spark, folder, keep_stats=True))
 
 
 def _processed(spark: SparkSession, folder: str) -> DataFrame:
@@ -454,7 +454,7 @@ def edit_matches(spark, folder):
 
 @query
 def process_dataset(spark, folder):
-    return _flat_processed(corpus.process(_raw(spark, folder)))
+    return _flat_processed(corpus.process(tables.raw_documents(spark, folder, keep_stats=True)))
 
 
 # --- counts ----------------------------------------------------------------------------

@@ -126,10 +126,15 @@ def length_filter(df: DataFrame, cfg: IngestConfig = IngestConfig()) -> DataFram
     return df.where(F.size(tx.words(F.col("text"))).between(cfg.min_words, cfg.max_words))
 
 
-def to_raw(df: DataFrame) -> DataFrame:
-    """Add the ingest quality class and metadata."""
+def to_raw(df: DataFrame, keep_stats: bool = False) -> DataFrame:
+    """Add the ingest quality class and metadata.
+
+    With ``keep_stats`` the counts behind them stay as working columns, which ``quality.annotate`` uses and drops.
+    """
     is_code, is_academic = F.col("domain") == "code", F.col("domain") == "academic"
-    return quality.with_text_stats(df).select(
+    counted = quality.with_text_stats(df)
+    kept = [name for name in counted.columns if name.startswith("_n_")] if keep_stats else []
+    return counted.select(
         "doc_id",
         "text",
         "domain",
@@ -142,6 +147,7 @@ def to_raw(df: DataFrame) -> DataFrame:
             F.when(is_code, F.col("language")).alias("language"),
             F.when(is_academic, F.col("title")).alias("title"),
         ).alias("metadata"),
+        *kept,
     )
 
 

@@ -44,8 +44,8 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def raw_documents(spark: SparkSession, folder: str) -> DataFrame:
-    return to_raw(documents(spark, folder))
+def raw_documents(spark: SparkSession, folder: str, keep_stats: bool = False) -> DataFrame:
+    return to_raw(documents(spark, folder), keep_stats)
 
 
 def other_sources(spark: SparkSession, folder: str) -> list[DataFrame]:
