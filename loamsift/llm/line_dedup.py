@@ -7,8 +7,8 @@ summed up by hash these say which lines go and who keeps them. Back comes, for e
 loses lines, a run-length coded bitmap over its line numbers, never text.
 
 Defined cases: a null or empty text is one empty line. A null ``doc_id`` comes before all others; where
-all holders of a line have none, they all keep it. A row is a document: repeated rows count each, and
-share their verdict. An empty table gives no rows. Other columns play no part.
+all holders of a line have none, they all keep it. Rows that share id and text are one document: they count
+once and share their verdict. An empty table gives no rows. Other columns play no part.
 """
 
 from __future__ import annotations

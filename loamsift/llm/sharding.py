@@ -86,7 +86,7 @@ def _intervals(points: list[tuple[int, int]], counts: list[int], shards: int, sl
 
 
 def assign_shards(sized: DataFrame, shards: int, virtual: int = VIRTUAL, slack: float = 0.0) -> DataFrame:
-    """``sized`` (with ``_place``) with ``shard`` and a gapless ``slot`` in it."""
+    """``sized`` (with ``_ring``) with ``shard`` and a gapless ``slot`` in it."""
     spark = sized.sparkSession
     points = ring_points(spark, shards, virtual)
     shift = RING_BITS - CELL_BITS

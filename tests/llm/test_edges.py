@@ -60,6 +60,18 @@ def test_bitmap_runs(spark):
     assert cut == {1: "x\ny", 2: "x\ny", 3: own}
 
 
+def test_rows_that_share_id_and_text_are_one_document(spark):
+    def dropped(rows):
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+        cut = line_dedup.drop_lines(docs, line_dedup.keep_bitmaps(docs)).collect()
+        assert len(cut) == len(rows)
+        return sum(r.n_dropped for r in cut)
+
+    assert dropped([(1, LINE)] * 3) == 0 and dropped([(None, LINE)] * 3 + [(1, LINE)]) == 0
+    assert dropped([(1, LINE), (1, LINE), (2, LINE), (3, LINE)]) == 3  # both rows of document 1 and document 2
+    assert dropped([(None, f"{LINE}\n{i}") for i in range(3)] + [(1, LINE)]) == 3
+
+
 def test_mix_follows_rates_and_keeps_columns(docs):
     mixed = mixing.mix(docs)
     assert set(mixed.columns) == set(docs.columns) and mixed.where("rate <> 'own'").count() == 0
