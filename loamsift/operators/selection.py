@@ -14,6 +14,7 @@ from loamsift.functions.lookup import weight_of
 from loamsift.operators import tfidf
 from loamsift.operators.ranking import top_fraction
 from loamsift.operators.staging import stage
+from loamsift.operators.top import top_share
 
 _TINY = 1e-10
 
@@ -111,6 +112,12 @@ def attribute_select(docs: DataFrame, cfg: SelectionConfig = SelectionConfig(),
     return _with_rows(docs, top_fraction(scores, "selection_score", cfg.rate), "attribute")
 
 
+def attribute_share(docs: DataFrame, cfg: SelectionConfig = SelectionConfig(), include_scores: bool = False) -> DataFrame:
+    """The rows that ``attribute_select`` takes, without ranks: nothing is sorted or exchanged for them."""
+    score = attribute_score(F.col("quality_class"), F.col("domain"), cfg, include_scores)
+    return top_share(docs.withColumn("selection_score", score), "selection_score", cfg.rate)
+
+
 def _unit_range(column: str, low: float, high: float) -> Column:
     return (F.col(column) - F.lit(low)) / F.lit(high - low + _TINY)
 

@@ -531,6 +531,9 @@ FROM (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY score DESC, doc_
     "attribute_score_full": _sql("att", """SELECT doc_id,
   round(att + quality_score + (1 - toxicity_score), 6) AS attribute_score FROM att"""),
     "attribute_select": _ranked("att", "att", "att", "attribute"),
+    "attribute_share": _sql("att", """SELECT doc_id, domain, round(att, 6) AS selection_score
+FROM (SELECT *, row_number() OVER (ORDER BY att DESC, doc_id) - 1 AS r FROM att)
+WHERE r < floor((SELECT count(*) FROM att) * 0.95::DOUBLE)"""),
     "hybrid_scores": _sql("hyb", """SELECT doc_id, round(dn, 6) AS dsir_score, round(an, 6) AS attribute_score,
   score AS selection_score FROM hyb"""),
     "hybrid_select": _SELECTED,

@@ -629,6 +629,13 @@ def attribute_select(spark, folder):
     return _picked(selection.attribute_select(_processed(spark, folder)))
 
 
+@query
+def attribute_share(spark, folder):
+    """The same documents without ranks."""
+    shared = selection.attribute_share(_processed(spark, folder))
+    return shared.select("doc_id", "domain", r6("selection_score").alias("selection_score"))
+
+
 @query
 def hybrid_scores(spark, folder):
     scores = selection.hybrid_scores(*_fitted_within(spark, folder))
