@@ -9,6 +9,7 @@ alone, so a retried task or another partitioning gives the same batch.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -19,10 +20,12 @@ from loamsift.functions.lookup import weight_of
 from loamsift.functions.seeded import uniform
 from loamsift.operators.keyed_join import spread_join
 from loamsift.operators.ranking import add_rank
-from loamsift.operators.staging import stage
+from loamsift.operators.staging import new_path, stage
 
 FEW_GROUPS = 10_000  # that many rows of a group table may be broadcast
 CELLS = 4096  # equal parts of [0, 1) by which draws meet the groups
+MEMBERS = 1 << 20  # places of a group in a block of an index
+MAX_BROADCAST_DRAWS = 200_000
 
 
 def group_statistics(df: DataFrame, by: str = "domain") -> DataFrame:
@@ -225,12 +228,8 @@ def unimax_batch(df: DataFrame, size: int, cfg: SamplingConfig = SamplingConfig(
 # --- weighted draws with replacement ---------------------------------------------------
 
 
-def weighted_draws(df: DataFrame, by: str, groups: DataFrame, n_draws: int, seed: int) -> DataFrame:
-    """(draw, doc_id, by): a group by its ``mass``, then one of its documents evenly.
-
-    Groups are intervals of [0, 1); draws and intervals meet by the equal cells that they fall into.
-    """
-    spark = df.sparkSession
+def _cells(groups: DataFrame, by: str) -> DataFrame:
+    """The groups as intervals of [0, 1) by their ``mass``, once for each equal cell that they reach into; written."""
     upto = Window.orderBy("index")  # one row per group
     total = F.sum("mass").over(Window.partitionBy(F.lit(0)))
     ends = groups.withColumn("_run", F.sum("mass").over(upto)).withColumns({
@@ -238,20 +237,75 @@ def weighted_draws(df: DataFrame, by: str, groups: DataFrame, n_draws: int, seed
     })
     ends = ends.withColumn("_begin", F.coalesce(F.lag("_end").over(upto), F.lit(0.0)))
     ends = ends.withColumn("_end", F.when(F.col("_last"), 2.0).otherwise(F.col("_end")))
-    cell = lambda x: F.least(F.floor(x * CELLS), F.lit(CELLS - 1)).cast("bigint")
-    cells = stage(ends.select(
-        by, "index", "count", "_begin", "_end", F.explode(F.sequence(cell(F.col("_begin")), cell(F.col("_end")))).alias("_cell")
-    ), "group_cells")
-    draws = spark.range(n_draws).select(
+    reach = F.sequence(_cell(F.col("_begin")), _cell(F.col("_end")))
+    return stage(ends.select(by, "index", "count", "_begin", "_end", F.explode(reach).alias("_cell")), "group_cells")
+
+
+def _cell(x: Column) -> Column:
+    return F.least(F.floor(x * CELLS), F.lit(CELLS - 1)).cast("bigint")
+
+
+def _picks(cells: DataFrame, by: str, first: int, n_draws: int, seed: int) -> DataFrame:
+    """(draw, by, rank) of the draws from number ``first`` on: a group by its mass, then a place in it evenly."""
+    draws = cells.sparkSession.range(first, first + n_draws).select(
         F.col("id").alias("draw"),
         uniform(f"{seed}:group", F.col("id")).alias("_u"),
         uniform(f"{seed}:member", F.col("id")).alias("_v"),
-    ).withColumn("_cell", cell(F.col("_u")))
-    picked = draws.join(F.broadcast(cells) if cells.count() <= FEW_GROUPS else cells, "_cell").where(
+    ).withColumn("_cell", _cell(F.col("_u")))
+    return draws.join(F.broadcast(cells) if cells.count() <= FEW_GROUPS else cells, "_cell").where(
         (F.col("_begin") <= F.col("_u")) & (F.col("_u") < F.col("_end"))
     ).select("draw", by, F.floor(F.col("_v") * F.col("count")).alias("rank"))
-    ranked = add_rank(_named(df, by), [F.col("doc_id")], within=by)
-    return picked.join(ranked, [by, "rank"]).select("draw", "doc_id", by)
+
+
+def _members(df: DataFrame, by: str) -> DataFrame:
+    """(doc_id, by, rank): each document's place in its group, in the order of ids."""
+    return add_rank(_named(df, by), [F.col("doc_id")], within=by)
+
+
+def weighted_draws(df: DataFrame, by: str, groups: DataFrame, n_draws: int, seed: int) -> DataFrame:
+    """(draw, doc_id, by): a group by its ``mass``, then one of its documents evenly.
+
+    Groups are intervals of [0, 1); draws and intervals meet by the equal cells that they fall into.
+    """
+    picked = _picks(_cells(groups, by), by, 0, n_draws, seed)
+    return picked.join(_members(df, by), [by, "rank"]).select("draw", "doc_id", by)
+
+
+@dataclass(frozen=True)
+class DrawIndex:
+    """What draws from a corpus need, written once: the groups' cells, and the members in blocks of ``MEMBERS`` places of a group."""
+
+    cells: DataFrame
+    members: DataFrame
+    by: str
+    seed: int
+
+    def draws(self, first: int, n_draws: int) -> DataFrame:
+        """(draw, doc_id, by) of the draws with the numbers ``first`` to ``first + n_draws - 1``.
+
+        They are the same in whatever batches they are taken. Only the blocks that they fall into are read, and nothing is sorted.
+        """
+        picked = _picks(self.cells, self.by, first, n_draws, self.seed).withColumn("block", F.floor(F.col("rank") / MEMBERS))
+        picked = stage(picked, "picks")
+        few = F.broadcast(picked) if n_draws <= MAX_BROADCAST_DRAWS else picked
+        return self.members.join(few, ["block", self.by, "rank"]).select("draw", "doc_id", self.by)
+
+
+def draw_index(df: DataFrame, groups: DataFrame, seed: int, by: str = "domain") -> DrawIndex:
+    """The index for draws from ``df`` by ``groups`` (``fit_groups`` with a column ``mass``)."""
+    path, spark = new_path(df.sparkSession, "members"), df.sparkSession
+    members = _members(df, by).withColumn("block", F.floor(F.col("rank") / MEMBERS))
+    # A block of every group lies in one folder, so that those which no draw falls into are passed over.
+    members.repartition("block", by).sortWithinPartitions("block", by, "rank").write.partitionBy("block").parquet(path)
+    schema = f"doc_id bigint, `{by}` string, rank bigint, block bigint"
+    return DrawIndex(_cells(groups, by), spark.read.schema(schema).parquet(path), by, seed)
+
+
+def alpha_index(df: DataFrame, cfg: SamplingConfig = SamplingConfig(), by: str = "domain") -> DrawIndex:
+    """The index for draws as ``alpha_batch`` makes them."""
+    stats = stage(group_statistics(df, by), "groups")
+    groups = fit_groups(stats, alpha_weights(stats, cfg.alpha, by), by)
+    return draw_index(df, groups.withColumn("mass", F.col("weight") * F.col("count")), cfg.seed, by)
 
 
 def _document_weighted(

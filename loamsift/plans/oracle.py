@@ -548,6 +548,7 @@ SELECT language, round(pow(p, 1.3::DOUBLE) / sum(pow(p, 1.3::DOUBLE)) OVER (), 6
     "unimax_batches": _UNIMAX_BATCHES,
     "unimax_continued": _UNIMAX_BATCHES,
     "alpha_batch": _draws("grp", f"SELECT domain, n, first_id, n * {_ALPHA_P} AS mass FROM grp", "docs", "domain", _N_DRAWS),
+    "alpha_batches_indexed": _draws("grp", f"SELECT domain, n, first_id, n * {_ALPHA_P} AS mass FROM grp", "docs", "domain", _N_DRAWS),
     "alpha_batch_documented": _draws("grp", f"SELECT domain, n, first_id, {_ALPHA_P} AS mass FROM grp", "docs", "domain", _N_DRAWS),
     "preference_batch": _draws("grp", f"SELECT domain, n, first_id, n * {_PREF_W} AS mass FROM grp", "docs", "domain", _N_DRAWS),
     "attribute_batch": _draws("bgrp", "SELECT bucket, n, first_id, w AS mass FROM bgrp", "bkt", "bucket", str(DRAW_SIZE)),

@@ -707,6 +707,15 @@ def alpha_batch(spark, folder):
     return sampling.alpha_batch(_texts(spark, folder), DRAW_SIZE)
 
 
+@query
+def alpha_batches_indexed(spark, folder):
+    """The same draws in two batches from an index that is written once."""
+    docs = _texts(spark, folder)
+    index, half = sampling.alpha_index(docs), DRAW_SIZE // 2
+    n_draws = min(DRAW_SIZE, docs.count())
+    return index.draws(0, min(half, n_draws)).unionByName(index.draws(half, max(0, n_draws - half)))
+
+
 @query
 def alpha_batch_documented(spark, folder):
     return sampling.alpha_batch(_texts(spark, folder), DRAW_SIZE, documented=True)

@@ -181,3 +181,15 @@ def test_split_and_batches(spark):
     assert [r["doc_id"] for r in sorted(batches, key=lambda r: (r["batch_id"], r["place"]))] == order
     plain = prep.epoch_batches(ids, shuffle=False).collect()
     assert all(r["batch_id"] == r["doc_id"] // 8 and r["place"] == r["doc_id"] % 8 for r in plain)
+
+
+def test_an_index_gives_the_same_draws_in_any_batches(docs_of, monkeypatch):
+    monkeypatch.setattr(sampling, "MEMBERS", 8)
+    docs = docs_of([("a", "x")] * 40 + [("b", "x")] * 25 + [(None, "x")] * 5)
+    whole = {r["draw"]: (r["doc_id"], r["domain"]) for r in sampling.alpha_batch(docs, 60).collect()}
+    index = sampling.alpha_index(docs)
+    parts = [index.draws(0, 20), index.draws(20, 1), index.draws(21, 39)]
+    assert {r["draw"]: (r["doc_id"], r["domain"]) for part in parts for r in part.collect()} == whole
+    plan = parts[2]._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Exchange rangepartitioning" not in plan and "PartitionFilters" in plan
+    assert index.draws(0, 0).count() == 0
