@@ -120,6 +120,13 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def id_bits(vocabulary: str | None = None, end_id: int = END_ID) -> int:
+    """16 if the largest id of the vocabulary fits, else 32."""
+    with open(vocabulary or default_vocabulary(), "rb") as file:
+        largest = max(end_id, *SPECIAL.values(), *(int(line.split()[1]) for line in file if line.strip()))
+    return 16 if largest < 1 << 16 else 32
+
+
 def tokenise(
     docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, bits: int = 32
 ) -> DataFrame:
@@ -267,7 +274,7 @@ def numbered(pieces: DataFrame, name: str) -> DataFrame:
 
 
 def packed_documents(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """A row per piece with its ids (16 bits each): ``doc_id, piece, start, length, sequence_id, offset, ids``."""
-    pieces = numbered(tokenise(docs, vocabulary, capacity, bits=16), "op9_ids")
+    """A row per piece with its ids (16 bits each if all fit, else 32): ``doc_id, piece, start, length, sequence_id, offset, ids``."""
+    pieces = numbered(tokenise(docs, vocabulary, capacity, bits=id_bits(vocabulary)), "op9_ids")
     placed = pack(pieces.drop("ids"), capacity)
     return placed.join(pieces.select("_piece", "ids"), "_piece").drop("_piece")

@@ -162,6 +162,19 @@ def test_packing(docs):
         assert at <= 1024
 
 
+def test_ids_beyond_16_bits_are_kept(spark, tmp_path):
+    import base64
+
+    import numpy as np
+
+    tokens = [(bytes([b]), b) for b in range(256)] + [(b"ab", 70_000)]
+    (tmp_path / "large").write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % n for t, n in tokens))
+    assert packing.id_bits(str(tmp_path / "large")) == 32 and packing.id_bits() == 16
+    docs = spark.createDataFrame([(1, "ab c"), (2, None)], "doc_id bigint, text string")
+    rows = {r.doc_id: r for r in packing.packed_documents(docs, str(tmp_path / "large")).collect()}
+    assert np.frombuffer(rows[1].ids, "<u4").tolist() == [70_000, 32, 99, 2] and np.frombuffer(rows[2].ids, "<u4").tolist() == [2]
+
+
 def test_repeats(docs):
     spans = {r.doc_id: r for r in suffix_array.repeated_spans(docs).collect()}
     assert set(spans) == {1, 2, 11, 12, None} and (spans[11].start_word, spans[11].end_word) == (0, 120)
