@@ -56,15 +56,10 @@ def fit_importance(target: DataFrame, cfg: SelectionConfig = SelectionConfig())
 
 
 def fit_within(docs: DataFrame, is_target: Column, cfg: SelectionConfig = SelectionConfig()) -> tuple[Importance, DataFrame]:
-    """``fit_importance`` for a target that is part of ``docs``, and the vectors of all ``docs``.
-
-    The texts are read and taken apart once; vocabulary and vectors come from the written term counts.
-    """
+    """``fit_importance`` for a target that is part of ``docs``, and the vectors of all ``docs``."""
     flagged = docs.select("doc_id", "text", is_target.alias("_target"))
-    per_doc = stage(tfidf.term_counts(flagged, keep=("_target",)), "term_counts_by_doc")
-    n_docs = docs.where(is_target).count()
-    vocabulary = tfidf.vocabulary_of(per_doc.where("_target"), n_docs, cfg)
-    vecs = stage(tfidf.vectors_of(per_doc, vocabulary, cfg, keep=("_target",)), "doc_terms")
+    vocabulary, n_docs = tfidf.fit_vocabulary(flagged.where("_target").select("doc_id", "text"), cfg)
+    vecs = stage(tfidf.vectors(flagged, vocabulary, cfg, keep=("_target",)), "doc_terms")
     target = stage(tfidf.distribution(vecs.where("_target"), n_docs), "target_distribution")
     return Importance(vocabulary, target, cfg), vecs.drop("_target")
 

@@ -128,3 +128,37 @@ def test_rank_does_not_depend_on_partitions(spark, partitions):
         of_g = sorted((r for r in grouped if r["g"] == g), key=lambda r: (-r["s"], r["doc_id"]))
         assert [r["rank"] for r in of_g] == list(range(len(of_g)))
         assert sum(r["g"] == g for r in top) == int(len(of_g) * 0.3)
+
+
+def _plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_vectors_and_counts_take_no_exchange(spark, texts_of):
+    docs = texts_of([text for text, *_ in TEXTS])
+    vocabulary, _ = tfidf.fit_vocabulary(docs)
+    for df in (tfidf.term_counts(docs), tfidf.vectors(docs, vocabulary)):
+        assert not re.search("Exchange|Aggregate|Sort|Window", _plan_of(df))
+
+
+def test_rows_of_one_id_are_one_document(spark):
+    docs = spark.createDataFrame(
+        [(1, "tide tables moon"), (1, "moon rises tide"), (2, "moon tide tide"), (None, "tide moon"), (None, "moon"), (3, None), (4, "")],
+        "doc_id bigint, text string",
+    )
+    counted = {}
+    for doc_id, text in docs.collect():
+        counted.setdefault(doc_id, Counter()).update(terms(text or ""))
+    assert {(r["doc_id"], r["term"]): r["tf"] for r in tfidf.term_counts(docs).collect()} == {
+        (doc_id, term): tf for doc_id, c in counted.items() for term, tf in c.items()
+    }
+    vocabulary = spark.createDataFrame([("tide", 1.0), ("moon", 2.0), ("moon rises", 3.0)], "term string, idf double")
+    idf = dict(vocabulary.collect())
+    for cfg in (SelectionConfig(), SelectionConfig(max_features=tfidf.BROADCAST_MAX_TERMS + 1)):
+        got = {(r["doc_id"], r["term"]): (r["tf"], round(r["tfidf"], 9)) for r in tfidf.vectors(docs, vocabulary, cfg).collect()}
+        expected = {}
+        for doc_id, c in counted.items():
+            weight = {t: tf * idf[t] for t, tf in c.items() if t in idf}
+            norm = math.sqrt(sum(w * w for w in weight.values()))
+            expected.update({(doc_id, t): (c[t], round(w / norm, 9)) for t, w in weight.items()})
+        assert got == expected
