@@ -34,6 +34,7 @@ EPOCH = 1
 SOME_BATCHES = (7, 12)  # the first and how many
 TOXIC_LIMIT = 0.1
 MAX_LENGTH = 2048
+FILE_CHARS = 64_000_000  # of the texts of one written file
 
 
 def query(fn: Query) -> Query:
@@ -85,10 +86,12 @@ def scan_source(spark, folder):
 def file_positions(spark, folder):
     """A source of JSON files without ids, some large and some small: rows are numbered file by file."""
     docs, path = tables.table(spark, folder, "documents"), new_path(spark, "unnumbered")
-    # Files 0 to 2 by path, the middle one by far the largest.
+    # Folders 0 to 2 by path, the middle one by far the largest. A file holds a range of ids, and its number stands first in its name.
     file = F.when(F.col("lang") == "en", 1).when(F.col("lang") < "en", 0).otherwise(2)
     rows = docs.select(file.alias("file"), "doc_id", "text")
-    rows.repartition(1, "file").sortWithinPartitions("file", "doc_id").drop("doc_id").write.partitionBy("file").json(path)
+    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    ranges = rows.repartitionByRange(chars // FILE_CHARS + 1, "file", "doc_id").sortWithinPartitions("file", "doc_id")
+    ranges.drop("doc_id").write.partitionBy("file").json(path)
     spec = replace(SOURCE_CATALOG[0], path=path)
     found = src.keyed(src.read_source(spark, spec))
     return found.select("doc_id", F.md5("text").alias("text_md5"))

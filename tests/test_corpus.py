@@ -1,5 +1,6 @@
 """Sources, sinks, streams and whole runs on the smallest tables."""
 
+import hashlib
 import json
 import os
 
@@ -183,3 +184,20 @@ def test_dedup_switches_and_null_domains(raw_of):
     assert stats.raw_stats(raw).first()["domain_counts"] == {"unknown": 1, "web": 2}
     processed = corpus.process(raw, CorpusConfig(dedup=DedupConfig(exact=False, fuzzy=False)))
     assert stats.processing_stats(processed).first()["domain_distribution"] == {"unknown": 1, "web": 2}
+
+
+def test_file_positions_of_files_in_ranges(spark, tmp_path, monkeypatch):
+    """A folder's text is written by several tasks, in the order of its ids all the same."""
+    from loamsift.plans import queries
+
+    rows = [(i * 7 % 300, f"text {i}", ["en", "de", "fr", None][i % 4 if i % 9 == 0 else 0]) for i in range(300)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(queries, "FILE_CHARS", 500)
+    written = []
+    monkeypatch.setattr(queries, "new_path", lambda _, name: written.append(f"{tmp_path}/{name}") or written[-1])
+    got = {r["doc_id"]: r["text_md5"] for r in queries.file_positions(spark, str(tmp_path)).collect()}
+    folder = {"en": 1, "de": 0}
+    in_order = sorted(rows, key=lambda r: (folder.get(r[2], 2), r[0]))
+    assert got == {i: hashlib.md5(row[1].encode()).hexdigest() for i, row in enumerate(in_order)}
+    files = list((tmp_path / "unnumbered" / "file=1").glob("*.json"))
+    assert len(files) > 1 and max(f.stat().st_size for f in files) < 10_000
