@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loamsift.config import DedupConfig
-from loamsift.operators import exact, fuzzy, keyed_join
+from loamsift.operators import exact, fuzzy, keyed_join, staging
 from loamsift.operators.keyed_join import spread_join
 
 
@@ -161,3 +161,27 @@ def test_spread_join_equals_join(spark, how):
     got = spread_join(many, one, "k", "row", how, min_rows=20)
     assert sorted(map(tuple, got.select("row", "k", "v").collect())) == want
     assert "_salt" in got._jdf.queryExecution().toString()
+
+
+def test_exact_dedup_leaves_texts_where_they_are(spark, texts_of):
+    kept = exact.exact_dedup(texts_of(["a b", "c", "a b", None, "", None]))
+    assert "Exchange hashpartitioning" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(0, "a b"), (1, "c"), (3, None), (4, "")]
+
+
+def test_exact_dedup_of_repeated_and_null_ids(spark):
+    rows = [(1, "a"), (1, "a"), (2, "a"), (3, "b"), (None, "b"), (None, "c"), (4, "d"), (4, "e")]
+    kept = exact.exact_dedup(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(1, "a"), (1, "a"), (3, "b")] + 2 * [(4, "d")] + 2 * [(4, "e")]
+    alone = exact.exact_dedup(spark.createDataFrame(rows[2:6], "doc_id bigint, text string"))
+    assert [(r["doc_id"], r["text"]) for r in alone.orderBy("doc_id").collect()] == [(2, "a"), (3, "b")]
+
+
+def test_shared_grams_move_once(spark, monkeypatch):
+    docs = staging.stage(spark.createDataFrame([(1, [5, 6, 7]), (2, [6, 7]), (3, [7, 8]), (4, [9]), (5, [])], "doc_id bigint, grams array<bigint>"), "grams")
+    shared = fuzzy.shared_grams(docs)
+    plan = shared._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1
+    assert {r["doc_id"]: r["shared"] for r in shared.collect()} == {1: [6, 7], 2: [6, 7], 3: [7]}
+    monkeypatch.setattr(fuzzy, "ONE_GRAM_ROWS", 0)
+    assert {r["doc_id"]: r["shared"] for r in fuzzy.shared_grams(docs).collect()} == {1: [6, 7], 2: [6, 7], 3: [7]}
