@@ -201,3 +201,11 @@ def test_file_positions_of_files_in_ranges(spark, tmp_path, monkeypatch):
     assert got == {i: hashlib.md5(row[1].encode()).hexdigest() for i, row in enumerate(in_order)}
     files = list((tmp_path / "unnumbered" / "file=1").glob("*.json"))
     assert len(files) > 1 and max(f.stat().st_size for f in files) < 10_000
+
+
+def test_near_duplicate_queries_write_no_texts(spark, monkeypatch):
+    from loamsift.plans import queries
+
+    monkeypatch.setattr(queries, "stage", lambda _, name: pytest.fail(f"{name} was written"))
+    for name in ("fuzzy_matches", "fuzzy_dedup"):
+        assert queries.QUERIES[name](spark, SMALL).columns[0] == "doc_id"
