@@ -209,3 +209,16 @@ def test_near_duplicate_queries_write_no_texts(spark, monkeypatch):
     monkeypatch.setattr(queries, "stage", lambda _, name: pytest.fail(f"{name} was written"))
     for name in ("fuzzy_matches", "fuzzy_dedup"):
         assert queries.QUERIES[name](spark, SMALL).columns[0] == "doc_id"
+
+
+def test_process_does_not_write_texts_between_its_steps(spark, raw_of, monkeypatch):
+    from loamsift.operators import exact, fuzzy, staging
+    from loamsift.plans import corpus
+
+    written = {}
+    for module in (corpus, exact, fuzzy):
+        monkeypatch.setattr(module, "stage", lambda df, name: written.setdefault(name, staging.stage(df, name)), raising=False)
+    text = "one two three four five six seven eight nine ten"
+    rows = corpus.process(raw_of([(text, "web"), (text, "web"), (text + " eleven", "books"), ("short", "code")])).collect()
+    assert sorted(r.doc_id for r in rows) == [0, 3]
+    assert written and not [name for name, df in written.items() if {"text", "grams"} & set(df.columns)]

@@ -185,3 +185,18 @@ def test_shared_grams_move_once(spark, monkeypatch):
     assert {r["doc_id"]: r["shared"] for r in shared.collect()} == {1: [6, 7], 2: [6, 7], 3: [7]}
     monkeypatch.setattr(fuzzy, "ONE_GRAM_ROWS", 0)
     assert {r["doc_id"]: r["shared"] for r in fuzzy.shared_grams(docs).collect()} == {1: [6, 7], 2: [6, 7], 3: [7]}
+
+
+def test_near_duplicates_write_shingles_only_where_ids_repeat(spark, monkeypatch):
+    from loamsift.operators import fuzzy, staging
+
+    names = []
+    monkeypatch.setattr(fuzzy, "stage", lambda df, name: names.append(name) or staging.stage(df, name))
+    text = "one two three four five six seven eight nine ten"
+    rows = [(1, text), (2, "other words that nobody else has here"), (3, text + " eleven"), (4, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert [(r.doc_id, r.kept_id) for r in fuzzy.fuzzy_matches(docs).collect()] == [(3, 1)]
+    assert "shingle_sets" in names and "shingles" not in names
+    twice = docs.union(docs.where("doc_id = 3"))
+    assert [(r.doc_id, r.kept_id) for r in fuzzy.fuzzy_matches(twice).collect()] == [(3, 1)]
+    assert "shingles" in names
