@@ -222,3 +222,14 @@ def test_process_does_not_write_texts_between_its_steps(spark, raw_of, monkeypat
     rows = corpus.process(raw_of([(text, "web"), (text, "web"), (text + " eleven", "books"), ("short", "code")])).collect()
     assert sorted(r.doc_id for r in rows) == [0, 3]
     assert written and not [name for name, df in written.items() if {"text", "grams"} & set(df.columns)]
+
+
+def test_stage_counts_writes_one_table_of_texts(spark, monkeypatch):
+    from loamsift.operators import staging
+    from loamsift.plans import queries
+
+    written = {}
+    monkeypatch.setattr(queries, "stage", lambda df, name: written.setdefault(name, staging.stage(df, name)))
+    counts = {r.stage: r["rows"] for r in queries.QUERIES["stage_counts"](spark, SMALL).collect()}
+    assert [name for name, df in written.items() if "text" in df.columns] == ["processed"]
+    assert counts["raw"] == 200 and counts["train"] + counts["eval"] == counts["selected"] == counts["sampled"]
