@@ -233,3 +233,13 @@ def test_stage_counts_writes_one_table_of_texts(spark, monkeypatch):
     counts = {r.stage: r["rows"] for r in queries.QUERIES["stage_counts"](spark, SMALL).collect()}
     assert [name for name, df in written.items() if "text" in df.columns] == ["processed"]
     assert counts["raw"] == 200 and counts["train"] + counts["eval"] == counts["selected"] == counts["sampled"]
+
+
+def test_overlapping_sources_meet_their_numbers_once(spark, monkeypatch):
+    from loamsift.operators import staging
+    from loamsift.plans import queries
+
+    written = {}
+    monkeypatch.setattr(queries, "stage", lambda df, name: written.setdefault(name, staging.stage(df, name)))
+    queries.QUERIES["ingest_overlapping"](spark, SMALL)
+    assert {"doc_id", "text"} <= set(written["ingested"].columns)
