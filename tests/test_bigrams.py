@@ -86,3 +86,22 @@ def test_no_training_documents_and_filter(spark):
     values = sorted(10**r.log10_perplexity for r in scores.collect())
     kept = bigrams.perplexity_filter(docs, scores, (values[2] + values[3]) / 2)
     assert kept.count() == 3 and kept.columns == docs.columns
+
+
+def test_pairs_are_counted_once_and_never_written_by_document(spark, monkeypatch):
+    from loamsift.operators import staging
+
+    written = {}
+    monkeypatch.setattr(bigrams, "stage", lambda df, name: written.setdefault(name, staging.stage(df, name)))
+    monkeypatch.setattr(bigrams, "FREQUENT", 6)  # so that some words are frequent and some are not
+    docs = frame(spark, TEXTS).withColumn("good", F.col("doc_id") % 2 == 0)
+    counts = bigrams.pair_counts(docs, F.col("good"))
+    model, plain = bigrams.fit_counts(counts), Plain(TEXTS[::2])
+    rows = {r.doc_id: r for r in bigrams.perplexity(docs, model, counts).collect()}
+    assert set(written) == {"bigram_counts", "bigram_contexts", "bigram_words", "scored_contexts", "scored_words"}
+    assert not any("doc_id" in df.columns for df in written.values())
+    for i, text in enumerate(TEXTS):
+        own = tokens(text)
+        pairs = list(zip([" <", *own], own))
+        assert rows[i].n_tokens == len(own) and rows[i].n_known == sum(plain.pairs[p] > 0 for p in pairs)
+        assert rows[i].log10_perplexity == pytest.approx(-sum(math.log10(plain.p(*p)) for p in pairs) / len(own), rel=1e-9)
