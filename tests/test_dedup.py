@@ -200,3 +200,19 @@ def test_near_duplicates_write_shingles_only_where_ids_repeat(spark, monkeypatch
     twice = docs.union(docs.where("doc_id = 3"))
     assert [(r.doc_id, r.kept_id) for r in fuzzy.fuzzy_matches(twice).collect()] == [(3, 1)]
     assert "shingles" in names
+
+
+def test_a_round_moves_its_keys_once(spark, monkeypatch):
+    plans = []
+
+    def staged(df, name):
+        if name == "buckets":
+            df.collect()
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return staging.stage(df, name)
+
+    monkeypatch.setattr(fuzzy, "stage", staged)
+    text = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(1, text), (2, "other words here"), (3, text + " eleven")], "doc_id bigint, text string")
+    assert [(r.doc_id, r.kept_id) for r in fuzzy.fuzzy_matches(docs).collect()] == [(3, 1)]
+    assert plans and all("ReusedExchange" in plan for plan in plans)
