@@ -243,3 +243,19 @@ def test_overlapping_sources_meet_their_numbers_once(spark, monkeypatch):
     monkeypatch.setattr(queries, "stage", lambda df, name: written.setdefault(name, staging.stage(df, name)))
     queries.QUERIES["ingest_overlapping"](spark, SMALL)
     assert {"doc_id", "text"} <= set(written["ingested"].columns)
+
+
+def test_ingest_writes_no_texts_and_ranks_only_what_it_cuts(spark, monkeypatch):
+    """Numbering writes ids only, and sources that have no more rows than are wanted keep their texts where they are."""
+    written = {}
+    monkeypatch.setattr(documents, "stage", lambda df, name: written.setdefault(name, staging.stage(df, name)))
+    frames = [spark.createDataFrame([(7, "b"), (3, "a")], "doc_id bigint, text string"), spark.createDataFrame([(3, "c"), (5, "d")], "doc_id bigint, text string")]
+    rows = sorted(tuple(r) for r in documents.union_with_ids(frames).collect())
+    assert rows == [(0, "a", 3), (1, "b", 7), (2, "c", 3), (3, "d", 5)]
+    assert not any("text" in df.columns for df in written.values())
+    rows = spark.createDataFrame([(7, "b"), (None, "x"), (3, ""), (5, "d"), (5, "d")], "doc_id bigint, text string")
+    cut = sorted(tuple(r) for r in documents._first(rows, [F.col("doc_id")], 2).collect())
+    assert cut == [(3, "")]  # the null comes first, and stands for no row
+    monkeypatch.setattr(documents, "MAX_SINGLE_MERGE", 1)
+    monkeypatch.setattr(documents, "add_rank", lambda *_: pytest.fail("ranked"))
+    assert sorted(r.doc_id for r in documents._first(rows, [F.col("doc_id")], 5).collect()) == [3, 5, 5, 7]
